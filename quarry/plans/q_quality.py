@@ -1 +1,248 @@
-"""Query keys (filled in below)."""
+"""Query keys for profiling, validation, the step log and dashboard aggregates."""
+
+from __future__ import annotations
+
+from functools import reduce
+from operator import add
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from quarry import config as C
+from quarry.functions import numeric as N
+from quarry.functions import text as T
+from quarry.operators.impute import column_medians
+from quarry.operators.schema import nan_literals_to_null, null_mask_any
+from quarry.plans import clean as CL
+from quarry.plans import report as RP
+from quarry.plans.catalog import register
+from quarry.plans.derived import sc, sl, sr, without_order
+from quarry.sources.tables import read_table
+
+
+def _raw_loaded(spark, sf) -> DataFrame:
+    raw = sr(spark, sf)
+    return nan_literals_to_null(raw, [c for c in raw.columns if c != "row_order"])
+
+
+def _data_cols(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c != "row_order"]
+
+
+@register("row_reduction")
+def q_row_reduction(spark, sf):
+    n_in = sr(spark, sf).select(F.count(F.lit(1))).scalar()
+    out = sc(spark, sf).agg(F.count(F.lit(1)).alias("rows_out"))
+    pct = F.when(n_in == 0, F.lit(0.0)).otherwise(
+        N.round_half_even((n_in - F.col("rows_out")) / n_in * 100.0, 1))
+    return out.select(n_in.cast("long").alias("rows_in"), F.col("rows_out").cast("long").alias("rows_out"),
+                      (n_in - F.col("rows_out")).cast("long").alias("rows_removed"), pct.alias("pct_removed"))
+
+
+@register("missing_profile")
+def q_missing_profile(spark, sf):
+    df = _raw_loaded(spark, sf)
+    cols = _data_cols(df)
+    agg = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols])
+    return agg.unpivot([], cols, "column_name", "missing_cells")
+
+
+@register("rows_with_missing")
+def q_rows_with_missing(spark, sf):
+    df = _raw_loaded(spark, sf)
+    return df.filter(null_mask_any(_data_cols(df))).select("row_order")
+
+
+@register("raw_issue_summary")
+def q_raw_issue_summary(spark, sf):
+    df = _raw_loaded(spark, sf)
+    cols = _data_cols(df)
+    distinct_rows = df.select(*cols).distinct().select(F.count(F.lit(1))).scalar()
+    per_col = [F.sum(F.col(c).isNull().cast("long")) for c in cols]
+    agg = df.agg(F.count(F.lit(1)).alias("total_rows"),
+                 reduce(add, [F.when(x > 0, 1).otherwise(0) for x in per_col]).cast("long").alias("columns_with_missing"),
+                 reduce(add, per_col).alias("missing_cells"),
+                 F.sum(null_mask_any(cols).cast("long")).alias("rows_with_missing"))
+    return agg.select(F.col("total_rows").cast("long"),
+                      (F.col("total_rows") - distinct_rows).cast("long").alias("duplicate_rows"),
+                      "columns_with_missing", F.col("missing_cells").cast("long"),
+                      F.col("rows_with_missing").cast("long"))
+
+
+@register("distinct_ids")
+def q_distinct_ids(spark, sf):
+    df = _raw_loaded(spark, sf)
+    return df.agg(F.count_distinct("student_id").alias("raw_distinct"),
+                  F.count_distinct(T.normalize_id("student_id")).alias("clean_distinct"))
+
+
+def _parsed_nulled(spark, sf) -> DataFrame:
+    raw = _raw_loaded(spark, sf)
+    p = raw.select("row_order", T.parse_gpa("gpa").alias("gpa"),
+                   *[T.parse_grade(g).alias(g) for g in C.GRADE_COLS])
+    return p.select("row_order", N.nullify_outside("gpa", 0.0, 4.0).alias("gpa"),
+                    *[N.nullify_outside(g, 0, 100).alias(g) for g in C.GRADE_COLS])
+
+
+@register("column_medians")
+def q_column_medians(spark, sf):
+    m = column_medians(_parsed_nulled(spark, sf), ["gpa"] + C.GRADE_COLS)
+    cust = read_table(spark, sf, "customer", ["c_acctbal"]).select(F.median("c_acctbal")).scalar()
+    return m.select(*[F.round(F.col(c), 6).alias(c) for c in m.columns],
+                    F.round(cust, 6).alias("c_acctbal"))
+
+
+@register("fill_median")
+def q_fill_median(spark, sf):
+    p = _parsed_nulled(spark, sf)
+    med = p.select(F.median("gpa")).scalar()
+    return p.select("row_order", F.coalesce(F.col("gpa"), N.round_half_even(med, 2)).alias("gpa"))
+
+
+@register("noncanonical_count")
+def q_noncanonical(spark, sf):
+    df = _raw_loaded(spark, sf)
+    i = F.col("interest")
+    return df.agg(F.sum((i.isNotNull() & ~i.isin(*C.VALID_INTERESTS)).cast("long")).alias("noncanonical"))
+
+
+@register("nonnumeric_count")
+def q_nonnumeric(spark, sf):
+    df = _raw_loaded(spark, sf)
+    agg = df.agg(*[F.sum(T.is_nonnumeric_text(g).cast("long")).alias(g) for g in C.GRADE_COLS])
+    return agg.unpivot([], C.GRADE_COLS, "course", "text_cells")
+
+
+@register("null_token_count")
+def q_null_token_count(spark, sf):
+    df = _raw_loaded(spark, sf)
+    return df.agg(F.sum(T.is_null_token("failed_courses").cast("long")).alias("null_tokens"))
+
+
+@register("flags_corrected")
+def q_flags_corrected(spark, sf):
+    return CL.audit_counters(sr(spark, sf)).select("flags_fixed")
+
+
+@register("step_log")
+def q_step_log(spark, sf):
+    return RP.step_log(CL.audit_counters(sr(spark, sf)))
+
+
+@register("validate_clean")
+def q_validate(spark, sf):
+    return CL.validate_clean(sc(spark, sf))
+
+
+@register("value_counts")
+def q_value_counts(spark, sf):
+    labelled = sl(spark, sf)
+    orders = read_table(spark, sf, "orders", ["o_orderpriority"])
+    parts = [labelled.groupBy(F.lit("recommended_track").alias("field"), F.col("recommended_track").alias("value")).count(),
+             labelled.groupBy(F.lit("interest").alias("field"), F.col("interest").alias("value")).count(),
+             orders.groupBy(F.lit("o_orderpriority").alias("field"), F.col("o_orderpriority").alias("value")).count()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("value_counts_pct")
+def q_value_counts_pct(spark, sf):
+    labelled = sl(spark, sf)
+    a = RP.value_counts_pct(labelled, "recommended_track").withColumn("field", F.lit("recommended_track"))
+    b = RP.value_counts_pct(labelled, "interest").withColumn("field", F.lit("interest"))
+    return a.unionByName(b)
+
+
+@register("group_mean")
+def q_group_mean(spark, sf):
+    labelled = sl(spark, sf)
+    cust = read_table(spark, sf, "customer", ["c_mktsegment", "c_acctbal"])
+    a = labelled.groupBy(F.col("recommended_track").alias("grp")).agg(
+        N.round_half_even(F.avg("gpa"), 2).alias("mean")).withColumn("measure", F.lit("gpa"))
+    b = cust.groupBy(F.col("c_mktsegment").alias("grp")).agg(
+        N.round_half_even(F.avg("c_acctbal"), 2).alias("mean")).withColumn("measure", F.lit("c_acctbal"))
+    return a.unionByName(b)
+
+
+@register("column_means")
+def q_column_means(spark, sf):
+    labelled = sl(spark, sf)
+    agg = labelled.agg(*[N.round_half_even(F.avg(g), 1).alias(g) for g in C.GRADE_COLS])
+    long = agg.unpivot([], C.GRADE_COLS, "course", "mean")
+    return long.select(T.relabel("course", C.COURSE_LABELS).alias("course_label"), "mean")
+
+
+@register("predicate_rate")
+def q_predicate_rate(spark, sf):
+    labelled = sl(spark, sf)
+    return labelled.agg(N.round_half_even(F.avg((F.col("failed_count") > 0).cast("double")) * 100.0, 1)
+                        .alias("failed_rate"))
+
+
+@register("column_range_profile")
+def q_range_profile(spark, sf):
+    labelled = sl(spark, sf)
+    cols = ["gpa", "math_grade", "ai_grade", "programming_grade"]
+    agg = labelled.agg(*[x for c in cols for x in (
+        F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max"),
+        F.round(F.avg(c), 6).alias(f"{c}__mean"))])
+    return agg.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                                  F.col(f"{c}__min").alias("min_value"),
+                                                  F.col(f"{c}__max").alias("max_value"),
+                                                  F.col(f"{c}__mean").alias("mean_value")) for c in cols])))
+
+
+@register("dataset_profile")
+def q_dataset_profile(spark, sf):
+    return RP.dataset_profile(sl(spark, sf))
+
+
+@register("report_lines")
+def q_report_lines(spark, sf):
+    counters = CL.audit_counters(sr(spark, sf))
+    return RP.report_lines(RP.step_log(counters), CL.validate_clean(sc(spark, sf)),
+                           RP.dataset_profile(sl(spark, sf)))
+
+
+# -- dashboard ---------------------------------------------------------------
+
+def dashboard_summary(labelled: DataFrame, rules_shown: DataFrame | None = None) -> DataFrame:
+    """All dashboard cards as (card, key, value) rows."""
+    n = labelled.agg(F.count(F.lit(1)).cast("double").alias("value")) \
+        .select(F.lit("total_students").alias("card"), F.lit("all").alias("key"), "value")
+    rate = labelled.agg(N.round_half_even(F.avg((F.col("failed_count") > 0).cast("double")) * 100.0, 1)
+                        .alias("value")).select(F.lit("failed_rate").alias("card"), F.lit("all").alias("key"), "value")
+    tracks = labelled.groupBy(F.col("recommended_track").alias("key")).agg(
+        F.count(F.lit(1)).cast("double").alias("value")).withColumn("card", F.lit("track_count"))
+    interests = labelled.groupBy(F.col("interest").alias("key")).agg(
+        F.count(F.lit(1)).cast("double").alias("value")).withColumn("card", F.lit("interest_count"))
+    gpa = labelled.groupBy(F.col("recommended_track").alias("key")).agg(
+        N.round_half_even(F.avg("gpa"), 2).alias("value")).withColumn("card", F.lit("avg_gpa"))
+    means = labelled.agg(*[N.round_half_even(F.avg(g), 1).alias(g) for g in C.GRADE_COLS]) \
+        .unpivot([], C.GRADE_COLS, "course", "value") \
+        .select(F.lit("avg_grade").alias("card"), T.relabel("course", C.COURSE_LABELS).alias("key"), "value")
+    parts = [n, rate, tracks, interests, gpa, means]
+    if rules_shown is not None:
+        parts.append(rules_shown.agg(F.count(F.lit(1)).cast("double").alias("value"))
+                     .select(F.lit("rules_shown").alias("card"), F.lit("all").alias("key"), "value"))
+    return reduce(DataFrame.unionByName, [p.select("card", "key", "value") for p in parts])
+
+
+@register("dashboard_summary")
+def q_dashboard_summary(spark, sf):
+    return dashboard_summary(sl(spark, sf))
+
+
+@register("dashboard_percentages")
+def q_dashboard_pct(spark, sf):
+    labelled = sl(spark, sf)
+    total = labelled.select(F.count(F.lit(1))).scalar()
+    t = labelled.groupBy(F.col("recommended_track").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    t = t.select(F.lit("track_bar").alias("bar"), "key",
+                 N.round_half_even(F.col("n") / total * 100.0, 1).alias("width"))
+    i = labelled.groupBy(F.col("interest").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    i = i.select(F.lit("interest_bar").alias("bar"), "key",
+                 N.round_half_even(F.col("n") / total * 100.0, 1).alias("width"))
+    g = labelled.groupBy(F.col("recommended_track").alias("key")).agg(
+        N.round_half_even(F.avg("gpa"), 2).alias("gpa"))
+    g = g.select(F.lit("gpa_bar").alias("bar"), "key", N.round_half_even(F.col("gpa") / 4.0 * 100.0, 1).alias("width"))
+    return t.unionByName(i).unionByName(g)
