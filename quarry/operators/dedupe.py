@@ -31,18 +31,22 @@ def keep_first(df: DataFrame, key: str | list[str], order_col: str = "row_order"
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def row_position(df: DataFrame, order_col: str, name: str = "position") -> DataFrame:
-    """Dense 0-based position in ``order_col`` order without a global window:
-    per-partition counts (a tiny aggregate) give each range-partition an
-    offset, so no single task sees all rows."""
-    ranged = df.repartitionByRange(order_col).sortWithinPartitions(order_col)
-    pid = F.spark_partition_id()
-    with_pid = ranged.withColumn("_pid", pid)
-    counts = with_pid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0)))
-    w_in = Window.partitionBy("_pid").orderBy(order_col)
-    local = with_pid.withColumn("_local", F.row_number().over(w_in) - 1)
-    return (local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
+def row_position(df: DataFrame, order_col: str | list, name: str = "position",
+                 group_col: str | None = None) -> DataFrame:
+    """Dense 0-based position in ``order_col`` order (within ``group_col``
+    when given) without a single-task window: rows are range-partitioned on
+    (group, order), so even a group holding a third of all rows spreads over
+    many tasks; per-(partition, group) counts -- a tiny table -- give each
+    partition its offset, and the local rank is computed per partition."""
+    orders = [order_col] if isinstance(order_col, str) else list(order_col)
+    keys = ([group_col] if group_col else []) + orders
+    ranged = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
+    grp = [group_col] if group_col else []
+    counts = ranged.groupBy("_pid", *grp).agg(F.count(F.lit(1)).alias("_n"))
+    w_off = Window.partitionBy(*grp).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
+    w_in = Window.partitionBy("_pid", *grp).orderBy(*orders)
+    local = ranged.withColumn("_local", F.row_number().over(w_in) - 1)
+    return (local.join(F.broadcast(offsets), ["_pid", *grp])
             .withColumn(name, (F.col("_off") + F.col("_local")).cast("long"))
             .drop("_pid", "_off", "_local"))

@@ -1 +1,216 @@
-"""Query keys (filled in below)."""
+"""Query keys for encoding, splitting, kNN models, evaluation and trees."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from quarry import config as C
+from quarry.functions.numeric import round_half_even
+from quarry.functions.text import safe_text
+from quarry.operators import evaluate as EV
+from quarry.operators import features as FT
+from quarry.operators.knn import knn_topk, predict_from_votes, vote
+from quarry.plans.catalog import register
+from quarry.plans.derived import materialize, sl
+from quarry.sources.tables import read_table
+
+NUM = C.NUMERIC_FEATURES
+
+
+def split_students(spark, sf) -> DataFrame:
+    return materialize(spark, "split", sf, lambda: FT.stratified_split(sl(spark, sf), C.TARGET))
+
+
+def knn_space(df: DataFrame, fit: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Standardised numerics (train statistics) + one-hot interest (train
+    categories) packed into ``vec``."""
+    cats = FT.categories_of(fit, "interest")
+    z = FT.standardize(df, NUM, fit=fit)
+    oh = FT.one_hot(z, "interest", cats, prefix="oh_")
+    vec = F.array(*[F.col("z_" + c) for c in NUM], *[F.col("oh_" + v) for v in cats])
+    return oh.withColumn("vec", vec), cats
+
+
+def knn_test_predictions(spark, sf) -> DataFrame:
+    """KNN (k=9, distance weights) trained on the split's train rows,
+    predicting the test rows: qid, student_id, actual, predicted, confidence,
+    plus the per-class vote table written beside it."""
+    def build():
+        data = split_students(spark, sf)
+        train = data.filter(~F.col("is_test"))
+        space, _ = knn_space(data, train)
+        q = space.filter(F.col("is_test")).select(F.col("row_order").alias("qid"), "vec")
+        h = space.filter(~F.col("is_test")).select(F.col("row_order").alias("hid"), "vec")
+        nn = knn_topk(q, h, C.KNN_K)
+        votes = vote(nn, data.select(F.col("row_order").alias("hid"), F.col(C.TARGET).alias("label")))
+        pred = predict_from_votes(votes)
+        facts = data.filter(F.col("is_test")).select(F.col("row_order").alias("qid"), "student_id",
+                                                      F.col(C.TARGET).alias("actual"))
+        probs = votes.groupBy("qid").agg(F.map_from_entries(F.collect_list(F.struct("label", "prob"))).alias("probs"))
+        return facts.join(pred, "qid").join(probs, "qid")
+    return materialize(spark, "knn_pred", sf, build)
+
+
+@register("label_encode")
+def q_label_encode(spark, sf):
+    return FT.label_index(sl(spark, sf), C.TARGET).select("student_id", C.TARGET, "label")
+
+
+@register("standard_scale")
+def q_standard_scale(spark, sf):
+    z = FT.standardize(sl(spark, sf), NUM)
+    return z.select("student_id", *[F.round("z_" + c, 6).alias("z_" + c) for c in NUM])
+
+
+@register("one_hot")
+def q_one_hot(spark, sf):
+    df = sl(spark, sf)
+    cats = FT.categories_of(df, "interest")
+    return FT.one_hot(df, "interest", cats, prefix="oh_").select("student_id", *["oh_" + v for v in cats])
+
+
+@register("stratified_split")
+def q_split(spark, sf):
+    return split_students(spark, sf).select("student_id", C.TARGET, "is_test")
+
+
+@register("fold_assign")
+def q_folds(spark, sf):
+    return FT.stratified_folds(sl(spark, sf), C.TARGET).select("student_id", C.TARGET, "fold")
+
+
+@register("knn_classify")
+def q_knn_classify(spark, sf):
+    p = knn_test_predictions(spark, sf)
+    return p.select("student_id", "actual", "predicted", F.round("confidence", 6).alias("confidence"))
+
+
+@register("predict_proba_dense")
+def q_proba(spark, sf):
+    p = knn_test_predictions(spark, sf)
+    classes = F.array(*[F.lit(t) for t in sorted(C.TRACK_NAMES)])
+    long = p.select("student_id", F.explode(classes).alias("track"), "probs")
+    pct = round_half_even(F.coalesce(F.col("probs")[F.col("track")], F.lit(0.0)) * 100.0, 1)
+    long = long.select("student_id", "track", pct.alias("prob_pct"))
+    w = Window.partitionBy("student_id").orderBy(F.col("prob_pct").desc(), F.col("track"))
+    return long.withColumn("rank", F.row_number().over(w))
+
+
+@register("accuracy")
+def q_accuracy(spark, sf):
+    return EV.accuracy(knn_test_predictions(spark, sf))
+
+
+@register("classification_report")
+def q_class_report(spark, sf):
+    return EV.classification_report(knn_test_predictions(spark, sf), C.TRACK_NAMES)
+
+
+@register("confusion_matrix")
+def q_confusion(spark, sf):
+    return EV.confusion_matrix(knn_test_predictions(spark, sf), sorted(C.TRACK_NAMES))
+
+
+@register("model_summary")
+def q_model_summary(spark, sf):
+    p = knn_test_predictions(spark, sf)
+    rep = EV.classification_report(p, C.TRACK_NAMES).filter(F.col("label") == "macro avg")
+    acc = EV.accuracy(p).scalar()
+    return rep.select(F.lit("knn").alias("model"), F.lit(C.ALGORITHM_LABELS["knn"]).alias("algorithm"),
+                      acc.alias("accuracy_pct"), F.col("f1").alias("macro_f1"),
+                      F.col("precision").alias("macro_precision"))
+
+
+@register("knn_similar")
+def q_knn_similar(spark, sf):
+    data = split_students(spark, sf)
+    space, _ = knn_space(data, data.filter(~F.col("is_test")))
+    v = space.select(F.col("row_order").alias("id"), "vec")
+    nn = knn_topk(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), C.SIMILAR_STUDENTS)
+    d4 = F.max("dist").over(Window.partitionBy("qid"))
+    sim = round_half_even(F.greatest(F.lit(0.0), 100.0 - F.col("dist") / F.greatest(d4, F.lit(0.001)) * 25.0), 1)
+    nn = nn.withColumn("similarity", sim)
+    hist = data.select(F.col("row_order").alias("hid"), F.col("student_id").alias("neighbour_id"),
+                       round_half_even("gpa", 2).alias("gpa"), safe_text("interest", "Undecided").alias("interest"),
+                       safe_text(C.TARGET, "Unknown").alias("track"), safe_text("failed_courses").alias("failed_courses"))
+    qs = data.select(F.col("row_order").alias("qid"), "student_id")
+    return (nn.join(qs, "qid").join(hist, "hid")
+            .select("student_id", "rank", "neighbour_id", "gpa", "interest", "track", "failed_courses",
+                    F.round("dist", 6).alias("distance"), "similarity"))
+
+
+@register("pairwise_euclidean")
+def q_pairwise(spark, sf):
+    """Five nearest embeddings of every embedding (exact, whole table)."""
+    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
+    v = emb.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+    nn = knn_topk(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), 5)
+    return nn.select(F.col("qid").alias("vec_id"), F.col("hid").alias("neighbour_id"), "rank",
+                     F.round("dist", 6).alias("distance"))
+
+
+@register("knn_classify_embeddings")
+def q_knn_embeddings(spark, sf):
+    """Leave-one-out 9-NN label vote over the embeddings table."""
+    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    v = emb.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+    nn = knn_topk(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), C.KNN_K + 1)
+    nn = nn.filter(F.col("qid") != F.col("hid"))
+    nn = nn.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "hid"))) \
+           .filter(F.col("rank") <= C.KNN_K)
+    votes = vote(nn, emb.select(F.col("vec_id").alias("hid"), "label"))
+    pred = predict_from_votes(votes)
+    return pred.join(emb.select(F.col("vec_id").alias("qid"), F.col("label").alias("actual")), "qid") \
+               .select(F.col("qid").alias("vec_id"), "actual", "predicted", F.round("confidence", 6).alias("confidence"))
+
+
+@register("grouped_importance")
+def q_grouped_importance(spark, sf):
+    """Importance grouping (M15) over stand-in weights: each feature's share
+    of total variance (SQL-checkable); forest weights use the same grouping
+    in ``train_random_forest``."""
+    df = sl(spark, sf)
+    agg = df.agg(*[F.var_pop(F.col(c).cast("double")).alias(c) for c in NUM])
+    long = agg.unpivot([], NUM, "feature", "weight")
+    return EV.group_importance(long)
+
+
+@register("train_decision_tree")
+def q_train_tree(spark, sf):
+    return EV.tree_predictions(split_students(spark, sf), "decision_tree")
+
+
+@register("train_random_forest")
+def q_train_forest(spark, sf):
+    return EV.tree_predictions(split_students(spark, sf), "random_forest")
+
+
+@register("forest_importance")
+def q_forest_importance(spark, sf):
+    return EV.forest_importance(split_students(spark, sf))
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf):
+    """5-fold (unshuffled, stratified) KNN accuracy: per fold + mean/std."""
+    folds = FT.stratified_folds(sl(spark, sf), C.TARGET)
+    rows = []
+    for f in range(C.CV_FOLDS):
+        train = folds.filter(F.col("fold") != f)
+        space, _ = knn_space(folds, train)
+        q = space.filter(F.col("fold") == f).select(F.col("row_order").alias("qid"), "vec")
+        h = space.filter(F.col("fold") != f).select(F.col("row_order").alias("hid"), "vec")
+        votes = vote(knn_topk(q, h, C.KNN_K), folds.select(F.col("row_order").alias("hid"),
+                                                             F.col(C.TARGET).alias("label")))
+        pred = predict_from_votes(votes).join(folds.select(F.col("row_order").alias("qid"),
+                                                           F.col(C.TARGET).alias("actual")), "qid")
+        rows.append(pred.agg(F.avg((F.col("predicted") == F.col("actual")).cast("double")).alias("acc"))
+                    .withColumn("fold", F.lit(f)))
+    per = reduce(DataFrame.unionByName, rows)
+    cv_mean = per.select(round_half_even(F.avg("acc") * 100.0, 2)).scalar()
+    cv_std = per.select(round_half_even(F.stddev_pop("acc") * 100.0, 2)).scalar()
+    return per.select("fold", F.round(F.col("acc") * 100.0, 2).alias("accuracy_pct"),
+                      cv_mean.alias("cv_mean"), cv_std.alias("cv_std"))
