@@ -34,14 +34,23 @@ def knn_space(df: DataFrame, fit: DataFrame) -> tuple[DataFrame, list[str]]:
     return oh.withColumn("vec", vec), cats
 
 
+def train_space(spark, sf) -> DataFrame:
+    """Feature vectors of every labelled row in the train-fitted space,
+    written once (like the original's saved training matrix)."""
+    def build():
+        data = split_students(spark, sf)
+        space, _ = knn_space(data, data.filter(~F.col("is_test")))
+        return space.select("row_order", "is_test", "vec")
+    return materialize(spark, "train_space", sf, build)
+
+
 def knn_test_predictions(spark, sf) -> DataFrame:
     """KNN (k=9, distance weights) trained on the split's train rows,
     predicting the test rows: qid, student_id, actual, predicted, confidence,
     plus the per-class vote table written beside it."""
     def build():
         data = split_students(spark, sf)
-        train = data.filter(~F.col("is_test"))
-        space, _ = knn_space(data, train)
+        space = train_space(spark, sf)
         q = space.filter(F.col("is_test")).select(F.col("row_order").alias("qid"), "vec")
         h = space.filter(~F.col("is_test")).select(F.col("row_order").alias("hid"), "vec")
         nn = knn_topk(q, h, C.KNN_K)
@@ -127,8 +136,7 @@ def q_model_summary(spark, sf):
 @register("knn_similar")
 def q_knn_similar(spark, sf):
     data = split_students(spark, sf)
-    space, _ = knn_space(data, data.filter(~F.col("is_test")))
-    v = space.select(F.col("row_order").alias("id"), "vec")
+    v = train_space(spark, sf).select(F.col("row_order").alias("id"), "vec")
     nn = knn_topk(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), C.SIMILAR_STUDENTS)
     d4 = F.max("dist").over(Window.partitionBy("qid"))
     sim = round_half_even(F.greatest(F.lit(0.0), 100.0 - F.col("dist") / F.greatest(d4, F.lit(0.001)) * 25.0), 1)
