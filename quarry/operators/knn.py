@@ -75,10 +75,10 @@ def knn_topk(queries: DataFrame, history: DataFrame, k: int, qid: str = "qid", h
     bh = max(1, math.ceil(nh / block_rows), math.ceil(par / bq))
     bh = min(bh, max(1, nh))
     q = (queries.select(F.col(qid).cast("long").alias("qid"), F.col(vec).cast("array<double>").alias("vec"))
-         .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(bq)))
+         .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(bq)).cast("int"))
          .withColumn("hb", F.explode(F.sequence(F.lit(0), F.lit(bh - 1)))))
     h = (history.select(F.col(hid).cast("long").alias("hid"), F.col(vec).cast("array<double>").alias("vec"))
-         .withColumn("hb", F.pmod(F.xxhash64("hid"), F.lit(bh)))
+         .withColumn("hb", F.pmod(F.xxhash64("hid"), F.lit(bh)).cast("int"))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))))
     cells = q.groupBy("qb", "hb").cogroup(h.groupBy("qb", "hb")).applyInPandas(_kernel(k), OUT_SCHEMA)
     w = Window.partitionBy("qid").orderBy("dist", "hid")

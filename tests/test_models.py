@@ -68,7 +68,11 @@ def test_knn_exact_vs_brute_force(spark, sf):
         order = np.lexsort((ids, d))[:3]
         for rank, j in enumerate(order, 1):
             hid, dist = got[(int(ids[qi]), rank)]
-            assert hid == ids[j] and abs(dist - d[j]) < 1e-9
+            assert abs(dist - d[j]) < 1e-9
+            # ids agree unless two neighbours tie to within float noise
+            if hid != ids[j]:
+                k = int(np.nonzero(ids == hid)[0][0])
+                assert abs(d[k] - d[j]) < 1e-9
 
 
 def test_folds_balanced(spark, sf):
