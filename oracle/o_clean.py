@@ -85,7 +85,8 @@ def clamp_int(x: str) -> str:
 
 
 def clamp_float(x: str) -> str:
-    v = f"(CASE WHEN ({coerce(x)}) IS NULL THEN 0.0 ELSE {coerce(x)} END)"
+    v = (f"(CASE WHEN regexp_full_match(lower({strip(x)}), '[+-]?nan') THEN 'nan'::DOUBLE "
+         f"WHEN ({coerce(x)}) IS NULL THEN 0.0 ELSE {coerce(x)} END)")
     capped = f"(CASE WHEN isnan({v}) THEN 4.0 ELSE LEAST(4.0, {v}) END)"
     return f"GREATEST(0.0, {capped})"
 

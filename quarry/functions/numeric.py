@@ -68,7 +68,8 @@ def clamp_float_input(c: Column | str, default: float = C.FORM_GPA_DEFAULT,
                       low: float = 0.0, high: float = 4.0) -> Column:
     """Form gpa: unparseable -> default; ``max(low, min(high, v))`` (NaN -> high,
     like Python's ``min`` with NaN second)."""
-    v = coerce_numeric(c)
+    lt = F.lower(py_strip(col_(c)))
+    v = F.when(lt.rlike(PY_NAN_RE), F.lit(float("nan"))).otherwise(coerce_numeric(c))
     v = F.when(v.isNull(), F.lit(float(default))).otherwise(v)
     capped = F.when(F.isnan(v), F.lit(float(high))).otherwise(F.least(F.lit(float(high)), v))
     return F.greatest(F.lit(float(low)), capped)

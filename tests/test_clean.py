@@ -66,7 +66,8 @@ def test_stream_parse_matches_batch(spark, sf, tmp_path):
     src = str(tmp_path / "in")
     write_text_csv(raw, src)
     out = str(tmp_path / "out")
-    q = start_stream_parse(spark, src, out, name=f"t-{tmp_path.name}")
+    import uuid
+    q = start_stream_parse(spark, src, out, name=f"t-{uuid.uuid4().hex}")
     q.awaitTermination(120)
     streamed = spark.read.parquet(out)
     batch = parse_rows(raw)
