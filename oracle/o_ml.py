@@ -173,3 +173,21 @@ def group_sql(f: str) -> str:
 VARS = " UNION ALL ".join(f"SELECT {q(c)} AS feature, var_pop(CAST({c} AS DOUBLE)) AS weight FROM sl" for c in NUM)
 oracle("grouped_importance", SL + f"SELECT {group_sql('feature')} AS \"group\", "
        f"round(sum(weight) / (SELECT sum(weight) FROM ({VARS}) z), 6) AS importance FROM ({VARS}) t GROUP BY 1")
+
+ITRACK = ("coalesce(CASE interest " + " ".join(f"WHEN {q(t['interest'])} THEN {q(t['track'])}" for t in C.TRACKS)
+          + f" END, {q(C.TRACKS[0]['track'])})")
+CMP = KNN + f""", base AS (
+  SELECT student_id, {T} AS score_track, {T} AS actual, {ITRACK} AS interest_track FROM split WHERE is_test
+), allm AS (
+  SELECT p.student_id, 'knn' AS model, p.predicted AS track, {rnd('p.confidence * 100.0', 1)} AS confidence FROM pred p
+  UNION ALL SELECT student_id, 'score_rule', score_track, 100.0 FROM base
+  UNION ALL SELECT student_id, 'interest_rule', interest_track, 100.0 FROM base
+), j AS (
+  SELECT a.*, b.score_track, b.actual FROM allm a JOIN base b ON a.student_id = b.student_id
+), acc AS (
+  SELECT model, {rnd('avg(CAST(track = actual AS DOUBLE)) * 100.0', 2)} AS accuracy FROM j GROUP BY model
+)
+SELECT j.student_id, j.model, CASE j.model WHEN 'knn' THEN 'K-Nearest Neighbors' WHEN 'score_rule' THEN 'Track Score Rule'
+  ELSE 'Interest Rule' END AS algorithm, j.track, CAST(j.confidence AS DOUBLE) AS confidence,
+  j.track = j.score_track AS agrees, acc.accuracy FROM j JOIN acc ON j.model = acc.model"""
+oracle("compare_models", CMP)

@@ -223,3 +223,30 @@ def q_cross_validate(spark, sf):
     cv_std = per.select(round_half_even(F.stddev_pop("acc") * 100.0, 2)).scalar()
     return per.select("fold", F.round(F.col("acc") * 100.0, 2).alias("accuracy_pct"),
                       cv_mean.alias("cv_mean"), cv_std.alias("cv_std"))
+
+
+@register("compare_models")
+def q_compare_models(spark, sf):
+    """Each test student through three models (kNN, the track-score rule,
+    the interest rule): prediction, confidence %, agreement with the
+    score-rule prediction, and the model's test accuracy."""
+    p = knn_test_predictions(spark, sf)
+    test = split_students(spark, sf).filter(F.col("is_test"))
+    interest_track = F.coalesce(F.create_map(*[x for t in C.TRACKS for x in (F.lit(t["interest"]), F.lit(t["track"]))])
+                                [F.col("interest")], F.lit(C.TRACKS[0]["track"]))
+    base = test.select("student_id", F.col(C.TARGET).alias("score_track"), F.col(C.TARGET).alias("actual"),
+                       interest_track.alias("interest_track"))
+    knn = p.select("student_id", F.lit("knn").alias("model"), F.col("predicted").alias("track"),
+                   round_half_even(F.col("confidence") * 100.0, 1).alias("confidence"))
+    score = base.select("student_id", F.lit("score_rule").alias("model"), F.col("score_track").alias("track"),
+                        F.lit(100.0).alias("confidence"))
+    rule = base.select("student_id", F.lit("interest_rule").alias("model"), F.col("interest_track").alias("track"),
+                       F.lit(100.0).alias("confidence"))
+    allm = knn.unionByName(score).unionByName(rule).join(base.select("student_id", "score_track", "actual"), "student_id")
+    acc = allm.groupBy("model").agg(round_half_even(F.avg((F.col("track") == F.col("actual")).cast("double")) * 100.0, 2)
+                                    .alias("accuracy"))
+    labels = {"knn": C.ALGORITHM_LABELS["knn"], "score_rule": "Track Score Rule", "interest_rule": "Interest Rule"}
+    return (allm.join(F.broadcast(acc), "model")   # one row per model
+            .select("student_id", "model", F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(v))])
+                    [F.col("model")].alias("algorithm"), "track", "confidence",
+                    (F.col("track") == F.col("score_track")).alias("agrees"), "accuracy"))
