@@ -205,11 +205,13 @@ def q_forest_importance(spark, sf):
 @register("cross_validate")
 def q_cross_validate(spark, sf):
     """5-fold (unshuffled, stratified) KNN accuracy: per fold + mean/std."""
-    folds = FT.stratified_folds(sl(spark, sf), C.TARGET)
+    folds = materialize(spark, "folds", sf, lambda: FT.stratified_folds(sl(spark, sf), C.TARGET))
     rows = []
     for f in range(C.CV_FOLDS):
-        train = folds.filter(F.col("fold") != f)
-        space, _ = knn_space(folds, train)
+        def build(f=f):
+            space, _ = knn_space(folds, folds.filter(F.col("fold") != f))
+            return space.select("row_order", "fold", "vec")
+        space = materialize(spark, f"fold_space_{f}", sf, build)
         q = space.filter(F.col("fold") == f).select(F.col("row_order").alias("qid"), "vec")
         h = space.filter(F.col("fold") != f).select(F.col("row_order").alias("hid"), "vec")
         votes = vote(knn_topk(q, h, C.KNN_K), folds.select(F.col("row_order").alias("hid"),
