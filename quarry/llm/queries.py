@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, packing
+from quarry.llm import bpe, hashing, jaccard, packing, quantised, suffixes
 from quarry.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op3_quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantised.near_duplicates(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), 0.9)
+
+
+@query
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), words=4, percent=85)
+
+
 @query
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
@@ -34,3 +44,15 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op8_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    return hashing.search(rows, rows.where("vec_id % 50 = 0"), k=5)
+
+
+@query
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.trim(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), threshold=50, digest=True)
+    return out.withColumnRenamed("kept", "kept_sha256")
