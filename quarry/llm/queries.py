@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, hashing, jaccard, packing, quantised, suffixes
+from quarry.llm import bpe, hashing, jaccard, packing, quantised, suffixes, toxicity
 from quarry.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,16 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), words=4, percent=85)
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
