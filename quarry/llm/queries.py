@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, hashing, jaccard, packing, quantised, suffixes, toxicity
+from quarry.llm import bpe, hashing, jaccard, packing, pii, quantised, suffixes, toxicity, warc
 from quarry.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op3_quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quantised.near_duplicates(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), 0.9)
@@ -66,3 +72,8 @@ def op8_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffixes.trim(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), threshold=50, digest=True)
     return out.withColumnRenamed("kept", "kept_sha256")
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
