@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, hashing, jaccard, packing, pii, quantised, suffixes, toxicity, warc
+from quarry.llm import bpe, hashing, html_crf, jaccard, packing, pii, quantised, suffixes, toxicity, warc
 from quarry.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_crf.extract(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
