@@ -1,26 +1,90 @@
-"""The corpus pipeline: filter, dedupe, trim, pseudonymise and pack documents.
+"""The corpus pipeline: filter, deduplicate, trim, pseudonymise and pack.
 
-Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is
-written as Parquet and reread as the next stage's docs."""
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and reread as the next stage's docs.  All but the last return the
+columns of documents.  Defined cases beyond the operators' own: a null doc_id
+links with nothing and stays; repeated rows are one group, of which one stays;
+a null text is empty behind the suffix stage; a text that the suffix stage
+empties stays as an empty document."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import packing
+from quarry.llm import jaccard, packing, pii, suffixes, toxicity
 from quarry.llm.common import handoff
 from quarry.sources.tables import read_table
 
+#: Up to so many removed ids (8 bytes each) are broadcast, more are joined.
+BROADCAST_IDS = 2_000_000
+
+
+def _like(docs: DataFrame, out: DataFrame) -> DataFrame:
+    """``out`` with the columns of ``docs`` and n_chars of its text."""
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below one half."""
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]).where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    model = toxicity.fit(docs.select("doc_id", "text"), labels)
+    return toxicity.score(docs, model).where("score < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of 5-word shingle sets linked at 0.8."""
+    rows, ids = docs.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    key = "doc_id"
+    if rows != ids:  # an id that repeats can't name a row
+        key = "__row"
+        docs = handoff(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows")
+    removed = handoff(jaccard.components(docs, words=5, percent=80, key=key).where("doc_id <> component_id").select(F.col("doc_id").alias(key)), "pipeline-removed")
+    if key == "__row":  # rows without an id stay
+        removed = docs.where("doc_id is not null").join(removed, key, "left_semi").select(key)
+    side = F.broadcast(removed) if removed.count() <= BROADCAST_IDS else removed
+    return docs.join(side, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns if c != "__row"])
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that a document with a smaller id has; of a
+    character that is cut in part nothing stays."""
+    cut = suffixes.trim(docs, threshold=50)
+    names = [c for c in docs.columns if c != "text"]
+
+    def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept = pa.array([x.decode("utf-8", "ignore") for x in b.column(len(names)).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], kept], names=[*names, "text"])
+
+    schema = cut.select(*[F.col(f"`{c}`") for c in names], F.lit("").alias("text")).schema
+    return _like(docs, cut.select(*[F.col(f"`{c}`") for c in names], "kept").mapInArrow(text, schema))
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with pseudonyms for personal numbers, dates and addresses."""
+    return _like(docs, pii.pseudonymise(docs))
+
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token sequences; see packing.pack."""
     return packing.pack(docs)
 
 
 STAGES = [
+    ("toxicity", toxic_filter),
+    ("ngram_jaccard", near_duplicates),
+    ("suffix_dedup", repeated_passages),
+    ("pii", pseudonyms),
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: Not expressible in SQL (a trained classifier, BPE tokens, keyed permutations).
+#: Not expressible in SQL: a trained classifier, BPE tokens, keyed permutations.
 ORACLE_SQL = None
 
 

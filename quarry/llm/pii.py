@@ -29,7 +29,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, MapType, StringType, StructType
 
 #: For tests and samples; pass a secret key in production.
 SAMPLE_KEY = b"quarry-sample-key"
@@ -279,7 +279,7 @@ def pseudonymise(docs: DataFrame, key: bytes = SAMPLE_KEY, text: str = "text", b
     and ``kinds`` (map of kind to number).  ``back`` restores the values."""
     names = [c for c in docs.columns if c not in ("n_values", "kinds")]
     at = names.index(text)
-    schema = StructType([docs.schema[c] for c in names]).add("n_values", "long").add("kinds", "map<string,int>")
+    schema = StructType([docs.schema[c] for c in names]).add("n_values", "long").add("kinds", MapType(StringType(), IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names_of = Pseudonyms(key, back)
