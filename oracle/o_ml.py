@@ -65,9 +65,9 @@ oracle("one_hot", SL + "SELECT student_id, " + ", ".join(
 oracle("stratified_split", SPLIT + f"SELECT student_id, {T}, is_test FROM split")
 FOLDS = with_ctes("sl", f"""
 cls AS (
-  SELECT {T}, count(*) AS n_c FROM sl GROUP BY {T}
+  SELECT {T}, count(*) AS n_c, min(row_order) AS first FROM sl GROUP BY {T}
 ), cls2 AS (
-  SELECT {T}, n_c, coalesce(sum(n_c) OVER (ORDER BY {T} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM cls
+  SELECT {T}, n_c, coalesce(sum(n_c) OVER (ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM cls
 ), bnd AS (
   SELECT {T}, {", ".join(
       "(" + " + ".join(f"(floor((start + n_c - 1 - {g}) / {C.CV_FOLDS}) - floor((start - 1 - {g}) / {C.CV_FOLDS}))"

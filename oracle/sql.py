@@ -81,7 +81,7 @@ sr_b AS (
   FROM sr_q
 ), sr_h AS (
   SELECT *, CAST(FLOOR(({gsum}) / 2) AS BIGINT) AS h,
-         lpad(CAST(k AS VARCHAR), 7, '0') AS n, {canon} AS canon
+         CASE WHEN k < 1000000 THEN lpad(CAST(k AS VARCHAR), 7, '0') ELSE CAST(k AS VARCHAR) END AS n, {canon} AS canon
   FROM sr_g
 ), sr_t AS (
   SELECT *, CAST(CAST(FLOOR(h / 100) AS BIGINT) AS VARCHAR) || '.' || lpad(CAST(h % 100 AS VARCHAR), 2, '0') AS gt
@@ -105,9 +105,9 @@ sr_b AS (
     'INFO_' || CAST(k AS VARCHAR) AS extra_info
   FROM sr_t
 ), sr AS (
-  SELECT * FROM sr_base
-  UNION ALL SELECT * FROM sr_base WHERE row_order % 20 = 0
-  UNION ALL SELECT row_order + 100000000 AS row_order, 'stu ' || CAST(row_order AS VARCHAR) AS student_id,
+  SELECT row_order * 2 AS row_order, student_id, gpa, {rest} FROM sr_base
+  UNION ALL SELECT row_order * 2, student_id, gpa, {rest} FROM sr_base WHERE row_order % 20 = 0
+  UNION ALL SELECT row_order * 2 + 1 AS row_order, 'stu ' || CAST(row_order AS VARCHAR) AS student_id,
     '4.0' AS gpa, {rest}
   FROM sr_base WHERE row_order % 33 = 1
 )"""

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import hand_off
+
 
 def dedupe_exact(df: DataFrame, cols: list[str] | None = None,
                  order_col: str | None = "row_order") -> DataFrame:
@@ -36,17 +38,24 @@ def row_position(df: DataFrame, order_col: str | list, name: str = "position",
     """Dense 0-based position in ``order_col`` order (within ``group_col``
     when given) without a single-task window: rows are range-partitioned on
     (group, order), so even a group holding a third of all rows spreads over
-    many tasks; per-(partition, group) counts -- a tiny table -- give each
-    partition its offset, and the local rank is computed per partition."""
+    many tasks.  The partitioned rows are written once with their partition's
+    number; counts and rows both come from that table, so a partition means
+    the same rows on either side whatever columns survive pruning and however
+    partitions are coalesced.  Counts (a row per partition and group) become
+    offsets; ranks are local to a partition."""
     orders = [order_col] if isinstance(order_col, str) else list(order_col)
-    keys = ([group_col] if group_col else []) + orders
-    ranged = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
     grp = [group_col] if group_col else []
+    keys = grp + orders
+    ranged = hand_off(df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id()), "positions")
     counts = ranged.groupBy("_pid", *grp).agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(*grp).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).select(
+        F.col("_pid").alias("_p"), *[F.col(g).alias("_g") for g in grp], "_off")
     w_in = Window.partitionBy("_pid", *grp).orderBy(*orders)
     local = ranged.withColumn("_local", F.row_number().over(w_in) - 1)
-    return (local.join(F.broadcast(offsets), ["_pid", *grp])
+    same = F.col("_pid") == F.col("_p")
+    for g in grp:
+        same = same & F.col(g).eqNullSafe(F.col("_g"))
+    return (local.join(offsets, same)
             .withColumn(name, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_pid", "_off", "_local"))
+            .drop("_pid", "_p", "_g", "_off", "_local"))

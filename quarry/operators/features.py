@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from quarry import config as C
 from quarry.operators.dedupe import row_position
 
+#: Buckets of the split key's histogram.
+KEY_BUCKETS = 1000
+
 
 def label_index(df: DataFrame, col: str, out: str = "label") -> DataFrame:
     """Alphabetical label encoding 0..n-1 (``LabelEncoder``); the distinct
@@ -52,13 +55,9 @@ def one_hot(df: DataFrame, col: str, categories: list[str], prefix: str | None =
     return df.select("*", *[(F.col(col) == F.lit(v)).cast("double").alias(prefix + v) for v in categories])
 
 
-def categories_of(fit: DataFrame, col: str, bound: int = 10_000) -> list[str]:
-    """Sorted distinct values of a categorical column (a tiny, bounded set;
-    fails rather than pulling an unbounded list to the driver)."""
-    vals = fit.select(col).distinct().limit(bound + 1).collect()
-    if len(vals) > bound:
-        raise ValueError(f"{col} has more than {bound} categories")
-    return sorted(v[0] for v in vals if v[0] is not None)
+def interest_categories() -> list[str]:
+    """The valid interests, sorted: a fixed list, so nothing is collected."""
+    return sorted(C.VALID_INTERESTS)
 
 
 def split_key(order_col: str = "row_order", seed: int = C.SEED) -> Column:
@@ -70,24 +69,37 @@ def split_key(order_col: str = "row_order", seed: int = C.SEED) -> Column:
 def stratified_split(df: DataFrame, label_col: str, test_fraction: float = C.TEST_FRACTION,
                      order_col: str = "row_order", seed: int = C.SEED) -> DataFrame:
     """Adds ``is_test``: per class, the first round(fraction * n_class) rows
-    in pseudo-random key order form the test set.  Positions come from the
-    skew-safe ``row_position`` (range partitioning), class sizes from a tiny
-    grouped count -- no per-class single-task window."""
+    in pseudo-random key order form the test set.
+
+    No row is numbered but those at the cut: a histogram of the key in
+    ``KEY_BUCKETS`` buckets per class tells in which bucket the test share
+    ends; rows of smaller buckets are test rows, of larger ones train rows,
+    and only the cut bucket's rows (about n_class / KEY_BUCKETS) are ranked."""
     tenths = int(round(test_fraction * 10))
-    keyed = df.withColumn("_key", split_key(order_col, seed))
-    pos = row_position(keyed, ["_key", order_col], "_pos", group_col=label_col)
-    sizes = df.groupBy(label_col).agg(F.floor((F.count(F.lit(1)) * tenths + 5) / 10).alias("_n_test"))
-    return (pos.join(F.broadcast(sizes), label_col)
-            .withColumn("is_test", F.col("_pos") < F.col("_n_test")).drop("_key", "_pos", "_n_test"))
+    key = split_key(order_col, seed)
+    keyed = df.withColumn("_bucket", F.floor(key * KEY_BUCKETS / F.lit(1000003)).cast("int"))
+    hist = keyed.groupBy(label_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(label_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(label_col)
+    hist = (hist.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+            .withColumn("_n_test", F.floor((F.sum("_n").over(whole) * tenths + 5) / 10)))
+    cuts = (hist.filter(F.col("_before") <= F.col("_n_test")).groupBy(F.col(label_col).alias("_label"))
+            .agg(F.max("_bucket").alias("_cut"), F.max_by(F.col("_n_test") - F.col("_before"), "_bucket").alias("_rest")))
+    tagged = keyed.join(cuts, F.col(label_col).eqNullSafe(F.col("_label")))   # one row per class on the right
+    far = tagged.filter(F.col("_bucket") != F.col("_cut")).withColumn("is_test", F.col("_bucket") < F.col("_cut"))
+    rank = F.row_number().over(Window.partitionBy("_label").orderBy(key, order_col))
+    near = tagged.filter(F.col("_bucket") == F.col("_cut")).withColumn("is_test", rank <= F.col("_rest"))
+    return far.unionByName(near).drop("_bucket", "_label", "_cut", "_rest")
 
 
 def stratified_folds(df: DataFrame, label_col: str, k: int = C.CV_FOLDS,
                      order_col: str = "row_order") -> DataFrame:
-    """Unshuffled stratified k-fold: labels sorted, position p of the sorted
-    label list goes to fold p % k; within a class the rows (data order) fill
-    fold 0 first, then fold 1, ... with those per-fold counts."""
-    cls = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_c"))
-    start = F.coalesce(F.sum("n_c").over(Window.orderBy(label_col)
+    """Unshuffled stratified k-fold: classes are numbered by first appearance
+    in the data, position p of the class-sorted label list goes to fold p % k;
+    within a class the rows (data order) fill fold 0 first, then fold 1, ...
+    with those per-fold counts."""
+    cls = df.groupBy(F.col(label_col).alias("_label")).agg(F.count(F.lit(1)).alias("n_c"), F.min(order_col).alias("_first"))
+    start = F.coalesce(F.sum("n_c").over(Window.orderBy("_first")
                                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cls = cls.withColumn("start", start)   # one row per class: tiny
     bounds, acc = [], None
@@ -95,9 +107,9 @@ def stratified_folds(df: DataFrame, label_col: str, k: int = C.CV_FOLDS,
         cnt = F.floor((F.col("start") + F.col("n_c") - 1 - f) / k) - F.floor((F.col("start") - 1 - f) / k)
         acc = cnt if acc is None else acc + cnt
         bounds.append(acc)
-    cls = cls.select(label_col, *[b.cast("long").alias(f"b{f}") for f, b in enumerate(bounds)])
-    ranked = row_position(df, order_col, "_j", group_col=label_col).join(F.broadcast(cls), label_col)
+    cls = cls.select("_label", *[b.cast("long").alias(f"b{f}") for f, b in enumerate(bounds)])
+    ranked = row_position(df, order_col, "_j", group_col=label_col).join(cls, F.col(label_col).eqNullSafe(F.col("_label")))
     fold = F.lit(k - 1)
     for f in reversed(range(k - 1)):
         fold = F.when(F.col("_j") < F.col(f"b{f}"), F.lit(f)).otherwise(fold)
-    return ranked.withColumn("fold", fold.cast("int")).drop("_j", *[f"b{f}" for f in range(k)])
+    return ranked.withColumn("fold", fold.cast("int")).drop("_j", "_label", *[f"b{f}" for f in range(k)])

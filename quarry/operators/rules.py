@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import round_half_even
 
-MAX_BROADCAST_ITEMSETS = 200_000
-
 
 def item_key(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
@@ -79,15 +77,14 @@ def association_rules(itemsets: DataFrame, n_baskets: Column | int, min_confiden
     if itemset_filter is not None:
         base = base.filter(itemset_filter)
     masks = base.select("items", "freq", F.explode(
-        F.sequence(F.lit(1), F.pow(F.lit(2), F.col("length")).cast("int") - 2)).alias("mask"))
+        F.sequence(F.lit(1).cast("long"), F.pow(F.lit(2), F.col("length")).cast("long") - 2)).alias("mask"))
     split = masks.select(
         "freq",
         F.filter("items", lambda x, i: _bit(i) != 0).alias("antecedents"),
         F.filter("items", lambda x, i: _bit(i) == 0).alias("consequents"))
     support = itemsets.select(item_key("items").alias("k"), F.col("freq").alias("f"))
-    sup = F.broadcast(support)  # bounded: <= 2^L / min_support rows (see module doc)
-    a = sup.select(F.col("k").alias("a_key"), F.col("f").alias("freq_a"))
-    c = sup.select(F.col("k").alias("c_key"), F.col("f").alias("freq_c"))
+    a = support.select(F.col("k").alias("a_key"), F.col("f").alias("freq_a"))
+    c = support.select(F.col("k").alias("c_key"), F.col("f").alias("freq_c"))
     joined = (split.withColumn("a_key", item_key("antecedents")).withColumn("c_key", item_key("consequents"))
               .join(a, "a_key").join(c, "c_key"))
     s_ac = F.col("freq") / n
@@ -101,7 +98,7 @@ def association_rules(itemsets: DataFrame, n_baskets: Column | int, min_confiden
 
 def _bit(i: Column) -> Column:
     """Bit ``i`` of the split mask."""
-    return F.col("mask").bitwiseAND(F.pow(F.lit(2), i).cast("int"))
+    return F.col("mask").bitwiseAND(F.pow(F.lit(2), i).cast("long"))
 
 
 def has_prefix(c: str, prefix: str) -> Column:

@@ -27,7 +27,7 @@ def split_students(spark, sf) -> DataFrame:
 def knn_space(df: DataFrame, fit: DataFrame) -> tuple[DataFrame, list[str]]:
     """Standardised numerics (train statistics) + one-hot interest (train
     categories) packed into ``vec``."""
-    cats = FT.categories_of(fit, "interest")
+    cats = FT.interest_categories()
     z = FT.standardize(df, NUM, fit=fit)
     oh = FT.one_hot(z, "interest", cats, prefix="oh_")
     vec = F.array(*[F.col("z_" + c) for c in NUM], *[F.col("oh_" + v) for v in cats])
@@ -78,7 +78,7 @@ def q_standard_scale(spark, sf):
 @register("one_hot")
 def q_one_hot(spark, sf):
     df = sl(spark, sf)
-    cats = FT.categories_of(df, "interest")
+    cats = FT.interest_categories()
     return FT.one_hot(df, "interest", cats, prefix="oh_").select("student_id", *["oh_" + v for v in cats])
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,8 +37,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a scratch one only
-    when the session has none (local runs and tests)."""
+    """Return the session's checkpoint folder.  A scratch one is made only for
+    a session in one process (local runs and tests); on a cluster a missing
+    setting is an error, as executors don't share machine-local folders."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
@@ -45,14 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
         return sc_dir
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a
-    local checkpoint: an executor loss must not lose the data)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def hand_off(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: its rows (and
+    anything not deterministic in them) are then fixed for every later use."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/handoff/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

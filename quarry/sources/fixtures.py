@@ -31,7 +31,6 @@ SEGMENT_INTEREST = {
 }
 COPY_EVERY = 20        # exact duplicate rows planted where k % 20 == 0
 COLLIDE_EVERY = 33     # id-collision rows planted where k % 33 == 1
-COLLIDE_OFFSET = 100_000_000
 
 
 def _s(c: Column) -> Column:
@@ -63,7 +62,7 @@ def raw_students(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = base.withColumn("h", F.floor(gsum / 2).cast("long"))
     gtext = F.concat(_s(F.floor(F.col("h") / 100).cast("long")), F.lit("."),
                      F.lpad(_s(F.col("h") % 100), 2, "0"))
-    n = F.lpad(_s(k), 7, "0")
+    n = F.when(F.length(_s(k)) < 7, F.lpad(_s(k), 7, "0")).otherwise(_s(k))   # lpad cuts longer keys
     canon = F.create_map(*[x for s, i in SEGMENT_INTEREST.items() for x in (F.lit(s), F.lit(i))])[F.col("seg")]
 
     cols = {
@@ -112,9 +111,11 @@ def raw_students(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = base.select(k, *[cols[c].alias(c) for c in order if c != "row_order"])
     rows = rows.withColumnRenamed("k", "row_order")
 
+    # two order numbers per key: 2k for a row and its copy, 2k + 1 for its collision
     copies = rows.filter(F.col("row_order") % COPY_EVERY == 0)
+    plain = rows.unionByName(copies).withColumn("row_order", F.col("row_order") * 2)
     collisions = (rows.filter(F.col("row_order") % COLLIDE_EVERY == 1)
                   .withColumn("student_id", F.concat(F.lit("stu "), _s(F.col("row_order"))))
                   .withColumn("gpa", F.lit("4.0"))
-                  .withColumn("row_order", F.col("row_order") + COLLIDE_OFFSET))
-    return rows.unionByName(copies).unionByName(collisions)
+                  .withColumn("row_order", F.col("row_order") * 2 + 1))
+    return plain.unionByName(collisions)
