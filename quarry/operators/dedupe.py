@@ -27,9 +27,10 @@ def dedupe_exact(df: DataFrame, cols: list[str] | None = None,
 
 def keep_first(df: DataFrame, key: str | list[str], order_col: str = "row_order") -> DataFrame:
     """Dedupe by key, keeping the first row in ``order_col`` order
-    (``drop_duplicates(subset, keep='first')``)."""
+    (``drop_duplicates(subset, keep='first')``).  Rows of one order number
+    are told apart by a hash of all their columns, so a rerun keeps the same."""
     keys = [key] if isinstance(key, str) else key
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc())
+    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc(), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 

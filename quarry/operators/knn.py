@@ -50,14 +50,19 @@ def _kernel(k: int, chunk: int = 512):
             d2 = qn[:, None] + hn[None, :] - 2.0 * (Qc @ H.T)
             kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
             tol = 1e-9 * (qn + hn.max()) + 1e-12
-            for r in range(len(Qc)):
-                cand = np.nonzero(d2[r] <= kth[r] + tol[r])[0]
-                diff = H[cand] - Qc[r]
-                exact = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-                order = np.lexsort((hids[cand], exact))[:kk]
-                out_q.append(np.full(len(order), qids[s + r], dtype=np.int64))
-                out_h.append(hids[cand][order])
-                out_d.append(exact[order])
+            # re-measure all candidates of the chunk at once, then rank them per query
+            row, cand = np.nonzero(d2 <= (kth + tol)[:, None])
+            exact = np.empty(len(row))
+            for p in range(0, len(row), 65_536):   # many ties: bounded memory
+                diff = H[cand[p:p + 65_536]] - Qc[row[p:p + 65_536]]
+                exact[p:p + 65_536] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+            order = np.lexsort((hids[cand], exact, row))
+            row, cand, exact = row[order], cand[order], exact[order]
+            first = np.searchsorted(row, np.arange(len(Qc)))
+            keep = np.arange(len(row)) - first[row] < kk
+            out_q.append(qids[s + row[keep]])
+            out_h.append(hids[cand[keep]])
+            out_d.append(exact[keep])
         return pd.DataFrame({"qid": np.concatenate(out_q), "hid": np.concatenate(out_h),
                              "dist": np.concatenate(out_d)})
     return run

@@ -33,8 +33,9 @@ def canonical_order(df: DataFrame, order: list[str], extra: tuple[str, ...] = ()
 
 
 def enforce_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Cast the named columns (absent ones skipped); other columns unchanged."""
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c)
+    """Cast the named columns (absent ones skipped); other columns unchanged.
+    A cell that isn't of the type becomes null, also under ANSI rules."""
+    return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c)
                        for c in df.columns])
 
 

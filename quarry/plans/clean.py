@@ -14,11 +14,11 @@ Physical plan, Spark-first:
   then wins the id dedupe.  ``row_number()==1`` per id is planned with a
   partial WindowGroupLimit (map-side top-1), so even a hot id such as
   ``UNKNOWN`` holding a third of the rows ships one row per map task.
-* The nine medians are scalar subqueries that Catalyst merges into one
-  aggregate over the deduplicated rows and inlines as literals; the clean
-  projection is then a single whole-stage-codegen Project.
-* Audit counters for the step log are one more aggregate over the same
-  deduplicated rows (plus two scalar subqueries over the raw input).
+* The deduplicated, parsed rows are written once to the shared folder.  The
+  nine medians are one aggregate over that table, read as one scalar
+  subquery; the clean projection reads the same table.
+* Audit counters for the step log are one more aggregate over that table; the
+  raw row, blank and distinct counts come from one aggregate over the input.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ from quarry.functions.numeric import clip, out_of_range, round_half_even
 from quarry.functions.text import (grade_stages, is_nonnumeric_text, is_null_token,
                                    with_normalized_id, parse_gpa, parse_grade_from, py_strip,
                                    strip_unit_suffix, with_standardized_category)
-from quarry.operators.dedupe import dedupe_exact, keep_first
+from quarry.operators.dedupe import keep_first
 from quarry.operators.impute import column_medians
+from quarry.session import hand_off
 from quarry.operators.schema import (drop_unexpected_columns, nan_literals_to_null,
                                      normalize_column_names)
 
@@ -90,12 +91,12 @@ def _filled(med: Column, name: str, lo: float, hi: float, digits: int) -> Column
     return round_half_even(clip(F.coalesce(F.col("_n_" + name), med), lo, hi), digits)
 
 
-def median_scalars(parsed: DataFrame, names: list[str], approx: bool = False) -> dict[str, Column]:
-    """All medians from ONE aggregate: every scalar subquery selects one
-    field of the same one-row aggregate, so Catalyst runs it once."""
+def median_scalars(parsed: DataFrame, names: list[str], approx: bool = False) -> tuple[DataFrame, dict[str, Column]]:
+    """All medians from ONE aggregate, as fields of the column ``_med``: the
+    plan holds one scalar subquery however often a median is used."""
     cols = ["_n_" + n for n in names]
     packed = column_medians(parsed, cols, approx).select(F.struct(*cols).alias("m")).scalar()
-    return {n: packed["_n_" + n] for n in names}
+    return parsed.withColumn("_med", packed), {n: F.col("_med")["_n_" + n] for n in names}
 
 
 def finish_stage(parsed: DataFrame, approx_median: bool = False,
@@ -104,7 +105,7 @@ def finish_stage(parsed: DataFrame, approx_median: bool = False,
     flags/counts, repair failed_courses, order and type the columns."""
     lo_g, hi_g = C.GPA_RANGE
     lo, hi = C.GRADE_RANGE
-    med = median_scalars(parsed, ["gpa"] + C.GRADE_COLS, approx_median)
+    parsed, med = median_scalars(parsed, ["gpa"] + C.GRADE_COLS, approx_median)
     cols: dict[str, Column] = {"gpa": _filled(med["gpa"], "gpa", lo_g, hi_g, 2)}
     for g in C.GRADE_COLS:
         cols[g] = _filled(med[g], g, lo, hi, 0).cast("int")
@@ -147,9 +148,11 @@ def finish_stage(parsed: DataFrame, approx_median: bool = False,
 
 def clean_students(raw: DataFrame, approx_median: bool = False, keep_sign: bool = False,
                    keep_order: bool = True, keep_audit: bool = False) -> DataFrame:
-    """The full cleaning job (V1) as one lazy plan."""
+    """The full cleaning job (V1).  The deduplicated and parsed rows are
+    written once: the medians and the finishing pass both read them, so there
+    is one scan, one dedupe shuffle and one parse."""
     df, _ = load_stage(raw)
-    parsed = parse_stage(dedupe_stage(df), keep_sign=keep_sign)
+    parsed = hand_off(parse_stage(dedupe_stage(df), keep_sign=keep_sign), "parsed")
     clean = finish_stage(parsed, approx_median=approx_median, keep_audit=keep_audit)
     return clean if keep_order else clean.drop(ORDER_COL)
 
@@ -197,11 +200,14 @@ def audit_counters(raw: DataFrame, approx_median: bool = False) -> DataFrame:
     data_cols = [c for c in loaded.columns if c != ORDER_COL]
     raw_cols = len(raw.columns) - (1 if ORDER_COL in raw.columns else 0)
     nan_raw = nan_literals_to_null(raw, [c for c in raw.columns if c != ORDER_COL])
-    missing_at_load = nan_raw.select(reduce(add, [F.sum(F.col(c).isNull().cast("long"))
-                                                  for c in raw.columns if c != ORDER_COL])).scalar()
-    rows_loaded = raw.select(F.count(F.lit(1))).scalar()
-    rows_after_exact = dedupe_exact(loaded.select(*data_cols), data_cols, None) \
-        .select(F.count(F.lit(1))).scalar()
+    others = [c for c in raw.columns if c != ORDER_COL and c not in data_cols]
+    nulls = lambda cols: reduce(add, [F.col(c).isNull().cast("long") for c in cols], F.lit(0).cast("long"))
+    # rows, blank cells and distinct rows from the one aggregate of the exact dedupe
+    exact = (nan_raw.select(*data_cols, nulls(others).alias("_other")).groupBy(*data_cols)
+             .agg(F.count(F.lit(1)).alias("_n"), F.sum("_other").alias("_other")))
+    load = exact.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_loaded"),
+                     F.sum(F.col("_n") * nulls(data_cols) + F.col("_other")).alias("missing_at_load"),
+                     F.count(F.lit(1)).alias("rows_after_exact")).select(F.struct("*").alias("s")).scalar()
 
     audited = clean_students(raw, approx_median=approx_median, keep_audit=True)
     lo_g, hi_g = C.GPA_RANGE
@@ -226,11 +232,11 @@ def audit_counters(raw: DataFrame, approx_median: bool = False) -> DataFrame:
     counters = audited.agg(*aggs)
     longs = [c for c in counters.columns]
     counters = counters.select(*[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in longs])
-    return counters.select(
-        rows_loaded.cast("long").alias("rows_loaded"),
+    return counters.withColumn("_load", load).select(
+        F.col("_load.rows_loaded").cast("long").alias("rows_loaded"),
         F.lit(raw_cols).cast("long").alias("cols_loaded"),
-        missing_at_load.cast("long").alias("missing_at_load"),
+        F.col("_load.missing_at_load").cast("long").alias("missing_at_load"),
         F.lit(len(data_cols)).cast("long").alias("cols_kept"),
         F.lit(repr(dropped) if dropped else "none").alias("dropped_columns"),
-        rows_after_exact.cast("long").alias("rows_after_exact"),
-        "*")
+        F.col("_load.rows_after_exact").cast("long").alias("rows_after_exact"),
+        *longs)

@@ -108,24 +108,21 @@ def dataset_profile(labelled: DataFrame) -> DataFrame:
         *[x for g in ["math_grade", "ai_grade", "programming_grade"] for x in (
             F.avg(g).alias(f"{g}_mean"), F.min(g).cast("double").alias(f"{g}_min"),
             F.max(g).cast("double").alias(f"{g}_max"))],
-        F.sum(F.lit(0)).cast("double").alias("missing_cells_dummy"))
-    missing = labelled.agg(sum(F.sum(F.col(c).isNull().cast("long")) for c in
-                               [c for c in C.CLEAN_ORDER if c in labelled.columns]).cast("double").alias("v"))
+        sum(F.sum(F.col(c).isNull().cast("long")) for c in C.CLEAN_ORDER if c in labelled.columns)
+        .cast("double").alias("missing_cells"))
     names = ["total", "gpa_min", "gpa_max", "gpa_mean"] + [f"{g}_{s}" for g in
                                                            ["math_grade", "ai_grade", "programming_grade"]
-                                                           for s in ("mean", "min", "max")]
+                                                           for s in ("mean", "min", "max")] + ["missing_cells"]
     totals = base.select(F.inline(F.array(*[
         F.struct(F.lit("summary").alias("section"), F.lit(k).alias("name"),
                  F.round(F.col(k), 6).alias("value")) for k in names])))
-    miss = missing.select(F.lit("summary").alias("section"), F.lit("missing_cells").alias("name"),
-                          F.col("v").alias("value"))
     dists = []
     for field, section in [("recommended_track", "track"), ("interest", "interest")]:
         if field in labelled.columns:
             vc = value_counts_pct(labelled, field)
             dists.append(vc.select(F.lit(section).alias("section"), F.col("value").alias("name"),
                                    F.col("count").cast("double").alias("value")))
-    out = totals.unionByName(miss)
+    out = totals
     for d in dists:
         out = out.unionByName(d)
     return out

@@ -23,21 +23,38 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def _options(reader):
+    return (reader.option("header", True).option("nullValue", "\u0000").option("emptyValue", "")
+            .option("multiLine", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
+def keep_blanks(df: DataFrame) -> DataFrame:
+    """Blank cells are '' however the file quotes them."""
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+
+
 def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
                   keep_blank: bool = True) -> DataFrame:
-    """Header CSV, every column text.  With ``columns`` the schema is explicit
-    (no inference pass over the data)."""
-    reader = (spark.read.option("header", True).option("nullValue", "\u0000")
-              .option("emptyValue", "").option("multiLine", False)
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    """Header CSV, every column text, matched by the header's names: all of
+    the file's columns, or ``columns`` of them in that order (a name that the
+    header lacks is an error).  Files of one path share a header."""
     try:
-        df = reader.schema(text_schema(columns)).csv(path) if columns else \
-            reader.option("inferSchema", False).csv(path)
+        df = _options(spark.read).option("inferSchema", False).csv(path)
     except AnalysisException as e:
         raise MissingInputError(f"input not found at '{path}'") from e
-    if keep_blank:
-        df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
-    return df
+    if columns:
+        missing = [c for c in columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"'{path}' has no column {', '.join(missing)}")
+        df = df.select(*[F.col(f"`{c}`") for c in columns])
+    return keep_blanks(df) if keep_blank else df
+
+
+def stream_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The same cells from a stream of files.  A stream needs its schema
+    beforehand, so the files' headers must be ``columns`` in this order; other
+    headers fail the query."""
+    return keep_blanks(_options(spark.readStream).option("enforceSchema", False).schema(text_schema(columns)).csv(path))
 
 
 def write_text_csv(df: DataFrame, path: str) -> None:

@@ -18,7 +18,7 @@ from quarry import config as C
 from quarry.functions.numeric import nullify_outside
 from quarry.functions.text import literal_nan_to_null, normalize_id, parse_gpa, parse_grade, standardize_category
 from quarry.session import ensure_checkpoint_dir
-from quarry.sources.csv_text import text_schema
+from quarry.sources.csv_text import stream_text_csv
 
 RAW_COLUMNS = ["row_order"] + [c for c in C.RAW_ORDER if c != "recommended_track"] + ["extra_info"]
 
@@ -40,8 +40,7 @@ def start_stream_parse(spark: SparkSession, input_dir: str, output_dir: str,
                        available_now: bool = True, name: str = "raw-parse"):
     """Start the streaming parse: CSV files (all text, header) -> parquet."""
     ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
-    src = (spark.readStream.option("header", True).option("nullValue", "\u0000")
-           .schema(text_schema(RAW_COLUMNS)).csv(input_dir))
+    src = stream_text_csv(spark, input_dir, RAW_COLUMNS)
     q = (parse_rows(src).writeStream.format("parquet").option("path", output_dir)
          .option("checkpointLocation", ckpt).outputMode("append"))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")
