@@ -174,20 +174,25 @@ VARS = " UNION ALL ".join(f"SELECT {q(c)} AS feature, var_pop(CAST({c} AS DOUBLE
 oracle("grouped_importance", SL + f"SELECT {group_sql('feature')} AS \"group\", "
        f"round(sum(weight) / (SELECT sum(weight) FROM ({VARS}) z), 6) AS importance FROM ({VARS}) t GROUP BY 1")
 
-ITRACK = ("coalesce(CASE interest " + " ".join(f"WHEN {q(t['interest'])} THEN {q(t['track'])}" for t in C.TRACKS)
-          + f" END, {q(C.TRACKS[0]['track'])})")
-CMP = KNN + f""", base AS (
-  SELECT student_id, {T} AS score_track, {T} AS actual, {ITRACK} AS interest_track FROM split WHERE is_test
-), allm AS (
-  SELECT p.student_id, 'knn' AS model, p.predicted AS track, {rnd('p.confidence * 100.0', 1)} AS confidence FROM pred p
-  UNION ALL SELECT student_id, 'score_rule', score_track, 100.0 FROM base
-  UNION ALL SELECT student_id, 'interest_rule', interest_track, 100.0 FROM base
-), j AS (
-  SELECT a.*, b.score_track, b.actual FROM allm a JOIN base b ON a.student_id = b.student_id
-), acc AS (
-  SELECT model, {rnd('avg(CAST(track = actual AS DOUBLE)) * 100.0', 2)} AS accuracy FROM j GROUP BY model
-)
-SELECT j.student_id, j.model, CASE j.model WHEN 'knn' THEN 'K-Nearest Neighbors' WHEN 'score_rule' THEN 'Track Score Rule'
-  ELSE 'Interest Rule' END AS algorithm, j.track, CAST(j.confidence AS DOUBLE) AS confidence,
-  j.track = j.score_track AS agrees, acc.accuracy FROM j JOIN acc ON j.model = acc.model"""
-oracle("compare_models", CMP)
+FOLD_STATS = " UNION ALL ".join(
+    f"SELECT {f} AS part, " + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}" for c in NUM)
+    + f" FROM folded WHERE fold <> {f}" for f in range(C.CV_FOLDS))
+FOLD_Z = ", ".join(f"(CAST(t.{c} AS DOUBLE) - st.m_{c}) / (CASE WHEN st.s_{c} IS NULL OR st.s_{c} < 1e-12 THEN 1.0 ELSE st.s_{c} END) AS z_{c}" for c in NUM)
+FOLD_OH = ", ".join(f"CAST(t.interest = {q(v)} AS DOUBLE) AS oh_{i}" for i, v in enumerate(CATS))
+oracle("cross_validate", FOLDS + f""", folded AS (
+  SELECT s.*, CAST({FOLD_CASE} AS INTEGER) AS fold FROM sl s JOIN ranked r ON s.row_order = r.row_order JOIN bnd b ON r.{T} = b.{T}
+), fold_st AS ({FOLD_STATS}
+), space AS (
+  SELECT st.part, t.fold, t.row_order, t.{T}, {FOLD_Z}, {FOLD_OH} FROM folded t, fold_st st
+), nn AS (
+  SELECT q.part, q.row_order AS qid, q.{T} AS actual, h.{T} AS label, {dist('q', 'h')} AS dist
+  FROM space q JOIN space h ON q.part = h.part AND q.fold = q.part AND h.fold <> h.part
+  QUALIFY row_number() OVER (PARTITION BY q.row_order ORDER BY dist, h.row_order) <= {C.KNN_K}
+), wts AS (
+  SELECT *, CASE WHEN max(CAST(dist = 0 AS INTEGER)) OVER (PARTITION BY qid) = 1 THEN CAST(dist = 0 AS DOUBLE) ELSE 1.0 / dist END AS w FROM nn
+), votes AS (SELECT part, qid, actual, label, sum(w) AS score FROM wts GROUP BY ALL
+), pred AS (
+  SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, label) = 1
+), per AS (SELECT part AS fold, avg(CAST(actual = label AS DOUBLE)) AS acc FROM pred GROUP BY part)
+SELECT fold, round(acc * 100.0, 2) AS accuracy_pct, (SELECT {rnd('avg(acc) * 100.0', 2)} FROM per) AS cv_mean,
+  (SELECT {rnd('stddev_pop(acc) * 100.0', 2)} FROM per) AS cv_std FROM per""")

@@ -69,23 +69,27 @@ def _kernel(k: int, chunk: int = 512):
 
 
 def knn_topk(queries: DataFrame, history: DataFrame, k: int, qid: str = "qid", hid: str = "hid",
-             vec: str = "vec", block_rows: int = 4096, parallelism: int | None = None) -> DataFrame:
+             vec: str = "vec", block_rows: int = 4096, parallelism: int | None = None,
+             part: str | None = None) -> DataFrame:
     """Exact k nearest history rows for every query row: (qid, hid, dist, rank).
     Ties in distance are broken by the smaller history id.  Ids are longs,
-    ``vec`` is array<double> of equal length on both sides."""
+    ``vec`` is array<double> of equal length on both sides.  With ``part`` (an
+    int column of both sides) only rows of one part meet, all parts in one job;
+    a query id then occurs in one part."""
     spark = queries.sparkSession
     nq, nh = queries.count(), history.count()
     par = parallelism or spark.sparkContext.defaultParallelism
     bq = max(1, math.ceil(nq / block_rows))
     bh = max(1, math.ceil(nh / block_rows), math.ceil(par / bq))
     bh = min(bh, max(1, nh))
-    q = (queries.select(F.col(qid).cast("long").alias("qid"), F.col(vec).cast("array<double>").alias("vec"))
+    own = (F.col(part) if part else F.lit(0)).cast("int").alias("part")
+    q = (queries.select(F.col(qid).cast("long").alias("qid"), F.col(vec).cast("array<double>").alias("vec"), own)
          .withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(bq)).cast("int"))
          .withColumn("hb", F.explode(F.sequence(F.lit(0), F.lit(bh - 1)))))
-    h = (history.select(F.col(hid).cast("long").alias("hid"), F.col(vec).cast("array<double>").alias("vec"))
+    h = (history.select(F.col(hid).cast("long").alias("hid"), F.col(vec).cast("array<double>").alias("vec"), own)
          .withColumn("hb", F.pmod(F.xxhash64("hid"), F.lit(bh)).cast("int"))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))))
-    cells = q.groupBy("qb", "hb").cogroup(h.groupBy("qb", "hb")).applyInPandas(_kernel(k), OUT_SCHEMA)
+    cells = q.groupBy("part", "qb", "hb").cogroup(h.groupBy("part", "qb", "hb")).applyInPandas(_kernel(k), OUT_SCHEMA)
     w = Window.partitionBy("qid").orderBy("dist", "hid")
     return cells.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

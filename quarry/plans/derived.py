@@ -11,7 +11,6 @@ query's plan small.  ``*_plan`` functions give the lazy, unmaterialised plans.
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,19 +21,21 @@ from quarry.plans.clean import clean_students
 from quarry.session import ensure_checkpoint_dir
 from quarry.sources.fixtures import raw_students
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+_WRITTEN: set[str] = set()
+
+
+def store_path(spark: SparkSession, name: str, sf_dir: str) -> str:
+    """Where this session keeps a derived table of ``sf_dir``."""
+    tag = hashlib.sha1(f"{spark.sparkContext.applicationId}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:12]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/derived/{name}-{tag}"
 
 
 def materialize(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
     """Write ``build()`` once per session to the shared folder; read it back."""
-    app = spark.sparkContext.applicationId
-    key = (app, name, os.path.abspath(sf_dir))
-    path = _WRITTEN.get(key)
-    if path is None:
-        tag = hashlib.sha1(f"{app}|{key[2]}".encode()).hexdigest()[:12]
-        path = os.path.join(ensure_checkpoint_dir(spark), "derived", f"{name}-{tag}")
+    path = store_path(spark, name, sf_dir)
+    if path not in _WRITTEN:
         build().write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
+        _WRITTEN.add(path)
     return spark.read.parquet(path)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +11,10 @@ from quarry.functions.text import safe_text
 from quarry.operators import evaluate as EV
 from quarry.operators import features as FT
 from quarry.operators.knn import knn_topk, predict_from_votes, vote
+from quarry.plans import models as M
 from quarry.plans.catalog import register
-from quarry.plans.derived import materialize, sl
+from quarry.plans.derived import materialize, sl, store_path
+from quarry.plans.q_rules import saved_target_rules
 from quarry.sources.tables import read_table
 
 NUM = C.NUMERIC_FEATURES
@@ -24,23 +24,12 @@ def split_students(spark, sf) -> DataFrame:
     return materialize(spark, "split", sf, lambda: FT.stratified_split(sl(spark, sf), C.TARGET))
 
 
-def knn_space(df: DataFrame, fit: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Standardised numerics (train statistics) + one-hot interest (train
-    categories) packed into ``vec``."""
-    cats = FT.interest_categories()
-    z = FT.standardize(df, NUM, fit=fit)
-    oh = FT.one_hot(z, "interest", cats, prefix="oh_")
-    vec = F.array(*[F.col("z_" + c) for c in NUM], *[F.col("oh_" + v) for v in cats])
-    return oh.withColumn("vec", vec), cats
-
-
 def train_space(spark, sf) -> DataFrame:
     """Feature vectors of every labelled row in the train-fitted space,
     written once (like the original's saved training matrix)."""
     def build():
         data = split_students(spark, sf)
-        space, _ = knn_space(data, data.filter(~F.col("is_test")))
-        return space.select("row_order", "is_test", "vec")
+        return M.space_of(data, data.filter(~F.col("is_test"))).select("row_order", "is_test", "vec")
     return materialize(spark, "train_space", sf, build)
 
 
@@ -202,53 +191,41 @@ def q_forest_importance(spark, sf):
     return EV.forest_importance(split_students(spark, sf))
 
 
+def folds_of(spark, sf) -> DataFrame:
+    return materialize(spark, "folds", sf, lambda: FT.stratified_folds(sl(spark, sf), C.TARGET))
+
+
 @register("cross_validate")
 def q_cross_validate(spark, sf):
     """5-fold (unshuffled, stratified) KNN accuracy: per fold + mean/std."""
-    folds = materialize(spark, "folds", sf, lambda: FT.stratified_folds(sl(spark, sf), C.TARGET))
-    rows = []
-    for f in range(C.CV_FOLDS):
-        def build(f=f):
-            space, _ = knn_space(folds, folds.filter(F.col("fold") != f))
-            return space.select("row_order", "fold", "vec")
-        space = materialize(spark, f"fold_space_{f}", sf, build)
-        q = space.filter(F.col("fold") == f).select(F.col("row_order").alias("qid"), "vec")
-        h = space.filter(F.col("fold") != f).select(F.col("row_order").alias("hid"), "vec")
-        votes = vote(knn_topk(q, h, C.KNN_K), folds.select(F.col("row_order").alias("hid"),
-                                                             F.col(C.TARGET).alias("label")))
-        pred = predict_from_votes(votes).join(folds.select(F.col("row_order").alias("qid"),
-                                                           F.col(C.TARGET).alias("actual")), "qid")
-        rows.append(pred.agg(F.avg((F.col("predicted") == F.col("actual")).cast("double")).alias("acc"))
-                    .withColumn("fold", F.lit(f)))
-    per = reduce(DataFrame.unionByName, rows)
-    cv_mean = per.select(round_half_even(F.avg("acc") * 100.0, 2)).scalar()
-    cv_std = per.select(round_half_even(F.stddev_pop("acc") * 100.0, 2)).scalar()
-    return per.select("fold", F.round(F.col("acc") * 100.0, 2).alias("accuracy_pct"),
-                      cv_mean.alias("cv_mean"), cv_std.alias("cv_std"))
+    return M.cross_validate_knn(folds_of(spark, sf))
+
+
+@register("cross_validate_trees")
+def q_cross_validate_trees(spark, sf):
+    """The same folds for the two trees: mean and std of the accuracy."""
+    return M.cross_validate_trees(folds_of(spark, sf))
+
+
+def bundle(spark, sf) -> dict:
+    """The saved models of the labelled students, fitted once per session."""
+    path = store_path(spark, "models", sf)
+    try:
+        return M.load_models(spark, path)
+    except M.MissingBundleError:
+        M.save_models(split_students(spark, sf), saved_target_rules(spark, sf), path)
+        return M.load_models(spark, path)
 
 
 @register("compare_models")
 def q_compare_models(spark, sf):
-    """Each test student through three models (kNN, the track-score rule,
-    the interest rule): prediction, confidence %, agreement with the
-    score-rule prediction, and the model's test accuracy."""
-    p = knn_test_predictions(spark, sf)
-    test = split_students(spark, sf).filter(F.col("is_test"))
-    interest_track = F.coalesce(F.create_map(*[x for t in C.TRACKS for x in (F.lit(t["interest"]), F.lit(t["track"]))])
-                                [F.col("interest")], F.lit(C.TRACKS[0]["track"]))
-    base = test.select("student_id", F.col(C.TARGET).alias("score_track"), F.col(C.TARGET).alias("actual"),
-                       interest_track.alias("interest_track"))
-    knn = p.select("student_id", F.lit("knn").alias("model"), F.col("predicted").alias("track"),
-                   round_half_even(F.col("confidence") * 100.0, 1).alias("confidence"))
-    score = base.select("student_id", F.lit("score_rule").alias("model"), F.col("score_track").alias("track"),
-                        F.lit(100.0).alias("confidence"))
-    rule = base.select("student_id", F.lit("interest_rule").alias("model"), F.col("interest_track").alias("track"),
-                       F.lit(100.0).alias("confidence"))
-    allm = knn.unionByName(score).unionByName(rule).join(base.select("student_id", "score_track", "actual"), "student_id")
-    acc = allm.groupBy("model").agg(round_half_even(F.avg((F.col("track") == F.col("actual")).cast("double")) * 100.0, 2)
-                                    .alias("accuracy"))
-    labels = {"knn": C.ALGORITHM_LABELS["knn"], "score_rule": "Track Score Rule", "interest_rule": "Interest Rule"}
-    return (allm.join(F.broadcast(acc), "model")   # one row per model
-            .select("student_id", "model", F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(v))])
-                    [F.col("model")].alias("algorithm"), "track", "confidence",
-                    (F.col("track") == F.col("score_track")).alias("agrees"), "accuracy"))
+    """Every student through the three trained models: track, confidence,
+    agreement with the chosen algorithm's track, and test accuracy."""
+    profiles = sl(spark, sf).withColumn("algorithm", F.lit(C.DEFAULT_ALGORITHM))
+    return M.compare(bundle(spark, sf), profiles)
+
+
+@register("evaluate_models")
+def q_evaluate_models(spark, sf):
+    """Test confusion cells of the three models."""
+    return bundle(spark, sf)["confusion"].select("model", "actual", "predicted", "count")
