@@ -169,7 +169,10 @@ DASH = (SL + "SELECT 'total_students' AS card, 'all' AS key, CAST(count(*) AS DO
         "UNION ALL SELECT 'interest_count', interest, CAST(count(*) AS DOUBLE) FROM sl GROUP BY 2 "
         f"UNION ALL SELECT 'avg_gpa', recommended_track, {rnd('avg(gpa)', 2)} FROM sl GROUP BY 2 "
         f"UNION ALL SELECT 'avg_grade', {LABEL}, mean FROM ({MEANS}) t")
-oracle("dashboard_summary", DASH)
+from oracle.o_rules import BASE  # noqa: E402
+
+oracle("dashboard_summary", DASH.replace(SL, BASE, 1)
+       + f" UNION ALL SELECT 'rules_shown', 'all', CAST(count(*) AS DOUBLE) FROM target WHERE rule_rank <= {C.DASHBOARD_RULES}")
 oracle("dashboard_percentages", SL + "SELECT 'track_bar' AS bar, recommended_track AS key, "
        f"{rnd('count(*) / (SELECT count(*) FROM sl) * 100.0', 1)} AS width FROM sl GROUP BY 2 "
        f"UNION ALL SELECT 'interest_bar', interest, {rnd('count(*) / (SELECT count(*) FROM sl) * 100.0', 1)} FROM sl GROUP BY 2 "

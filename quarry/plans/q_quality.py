@@ -198,29 +198,31 @@ def q_dataset_profile(spark, sf):
 
 @register("report_lines")
 def q_report_lines(spark, sf):
-    counters = CL.audit_counters(sr(spark, sf))
-    return RP.report_lines(RP.step_log(counters), CL.validate_clean(sc(spark, sf)),
-                           RP.dataset_profile(sl(spark, sf)))
+    raw = sr(spark, sf)
+    counters = CL.audit_counters(raw)
+    return RP.report_lines(RP.step_log(counters), CL.validate_clean(sc(spark, sf)), sl(spark, sf), len(raw.columns) - 1)
 
 
 # -- dashboard ---------------------------------------------------------------
 
 def dashboard_summary(labelled: DataFrame, rules_shown: DataFrame | None = None) -> DataFrame:
     """All dashboard cards as (card, key, value) rows."""
-    n = labelled.agg(F.count(F.lit(1)).cast("double").alias("value")) \
-        .select(F.lit("total_students").alias("card"), F.lit("all").alias("key"), "value")
-    rate = labelled.agg(N.round_half_even(F.avg((F.col("failed_count") > 0).cast("double")) * 100.0, 1)
-                        .alias("value")).select(F.lit("failed_rate").alias("card"), F.lit("all").alias("key"), "value")
-    tracks = labelled.groupBy(F.col("recommended_track").alias("key")).agg(
-        F.count(F.lit(1)).cast("double").alias("value")).withColumn("card", F.lit("track_count"))
-    interests = labelled.groupBy(F.col("interest").alias("key")).agg(
-        F.count(F.lit(1)).cast("double").alias("value")).withColumn("card", F.lit("interest_count"))
-    gpa = labelled.groupBy(F.col("recommended_track").alias("key")).agg(
-        N.round_half_even(F.avg("gpa"), 2).alias("value")).withColumn("card", F.lit("avg_gpa"))
-    means = labelled.agg(*[N.round_half_even(F.avg(g), 1).alias(g) for g in C.GRADE_COLS]) \
-        .unpivot([], C.GRADE_COLS, "course", "value") \
-        .select(F.lit("avg_grade").alias("card"), T.relabel("course", C.COURSE_LABELS).alias("key"), "value")
-    parts = [n, rate, tracks, interests, gpa, means]
+    value = F.col
+    totals = labelled.agg(F.count(F.lit(1)).cast("double").alias("n"),
+                          N.round_half_even(F.avg((value("failed_count") > 0).cast("double")) * 100.0, 1).alias("failed"),
+                          *[N.round_half_even(F.avg(g), 1).alias(g) for g in C.GRADE_COLS])
+    one = lambda card, key, v: F.struct(F.lit(card).alias("card"), key.alias("key"), v.cast("double").alias("value"))
+    cards = totals.select(F.inline(F.array(
+        one("total_students", F.lit("all"), value("n")), one("failed_rate", F.lit("all"), value("failed")),
+        *[one("avg_grade", F.lit(C.COURSE_LABELS[g]), value(g)) for g in C.GRADE_COLS])))
+    # both distributions from one pass: each row counts once per field
+    long = labelled.select("gpa", F.inline(F.array(
+        F.struct(F.lit("track").alias("field"), value("recommended_track").alias("key")),
+        F.struct(F.lit("interest").alias("field"), value("interest").alias("key")))))
+    dist = long.groupBy("field", "key").agg(F.count(F.lit(1)).cast("double").alias("n"), N.round_half_even(F.avg("gpa"), 2).alias("gpa"))
+    track = F.array(one("track_count", value("key"), value("n")), one("avg_gpa", value("key"), value("gpa")))
+    dist = dist.select(F.inline(F.when(value("field") == "track", track).otherwise(F.array(one("interest_count", value("key"), value("n"))))))
+    parts = [cards, dist]
     if rules_shown is not None:
         parts.append(rules_shown.agg(F.count(F.lit(1)).cast("double").alias("value"))
                      .select(F.lit("rules_shown").alias("card"), F.lit("all").alias("key"), "value"))
@@ -229,7 +231,9 @@ def dashboard_summary(labelled: DataFrame, rules_shown: DataFrame | None = None)
 
 @register("dashboard_summary")
 def q_dashboard_summary(spark, sf):
-    return dashboard_summary(sl(spark, sf))
+    from quarry.plans.q_rules import saved_target_rules
+    shown = saved_target_rules(spark, sf).filter(F.col("rule_rank") <= C.DASHBOARD_RULES)
+    return dashboard_summary(sl(spark, sf), shown)
 
 
 @register("dashboard_percentages")

@@ -7,7 +7,9 @@ extra pass over the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry import config as C
@@ -135,27 +137,79 @@ def value_counts_pct(df: DataFrame, field: str) -> DataFrame:
     return vc.select("value", "count", round_half_even(F.col("count") / total * 100.0, 1).alias("pct"))
 
 
-def report_lines(log: DataFrame, validation: DataFrame, profile: DataFrame,
+def step_details(log: DataFrame) -> DataFrame:
+    """(step, k, line): the detail lines of every step; notes wrap at 72."""
+    n = lambda c: F.format_number(F.col(c), 0)
+    wrapped = F.split(F.regexp_replace(F.col("notes"), r"(.{1,72})(?:\s+|$)", "$1\n"), "\n")
+    notes = F.transform(F.filter(wrapped, lambda x: x != ""), lambda x: F.concat(F.lit("   Note    : "), x))
+    title = F.concat(F.lit("-- Step "), F.col("step"), F.lit(": "), F.col("title"), F.lit(" "),
+                     F.repeat(F.lit("-"), F.greatest(F.lit(0), 60 - F.length("title"))))
+    lines = F.concat(
+        F.array(F.lit(""), title, F.concat(F.lit("   Action  : "), F.col("action")),
+                F.concat(F.lit("   Before  : "), n("rows_before"), F.lit(" rows")),
+                F.concat(F.lit("   After   : "), n("rows_after"), F.lit(" rows"))),
+        F.when(F.col("rows_affected") != 0, F.array(F.concat(F.lit("   Changed : "), n("rows_affected")))).otherwise(F.array().cast("array<string>")),
+        notes)
+    return log.select("step", F.posexplode(lines).alias("k", "line"))
+
+
+def distribution_lines(df: DataFrame, field: str) -> DataFrame:
+    """(k, line): values by falling count with their share."""
+    counts = value_counts_pct(df, field)
+    return counts.select((-F.col("count")).alias("k"), F.format_string(
+        "    %-30s %5d  (%5.1f%%)", F.col("value"), F.col("count"), F.col("pct")).alias("line"))
+
+
+def report_lines(log: DataFrame, validation: DataFrame, labelled: DataFrame, source_columns: int,
                  generated: str = "1970-01-01 00:00:00") -> DataFrame:
-    """The text report as ordered ``(line_no, line)`` rows; all inputs are
-    tiny one-row or few-row frames, unioned and numbered by a sort key."""
-    banner = "=" * 72
-    head = [banner, "  STUDENT RECORDS - DATA PREPROCESSING REPORT", f"  Generated : {generated}",
-            banner, "", "STEP SUMMARY", "------------",
-            f"{'Step':<5} {'Title':<38} {'Rows Before':>11} {'Rows After':>10} {'Changed':>9}", "-" * 78]
-    spark = log.sparkSession
-    h = spark.createDataFrame([(i, t) for i, t in enumerate(head)], "k int, line string") \
-        .select(F.lit(0).alias("sec"), "k", "line")
-    steps = log.select(F.lit(1).alias("sec"), F.col("step").alias("k"), F.format_string(
-        "%-5d %-38s %11s %10s %9s", F.col("step"), F.col("title"),
-        F.format_number(F.col("rows_before"), 0), F.format_number(F.col("rows_after"), 0),
-        F.format_number(F.col("rows_affected"), 0)).alias("line"))
-    status = validation.select(F.lit(2).alias("sec"), F.lit(0).alias("k"), F.concat(
-        F.lit("  Overall status   : "), F.when(F.col("passed"), F.lit("CLEAN OK"))
-        .otherwise(F.lit("SEE WARNINGS"))).alias("line"))
-    prof = profile.select(F.lit(3).alias("sec"), F.lit(0).alias("k"), F.format_string(
-        "  %-12s %-30s %s", F.col("section"), F.col("name"), F.col("value").cast("string")).alias("line"))
-    lines = h.unionByName(steps).unionByName(status).unionByName(prof)
-    from pyspark.sql import Window
-    w = Window.orderBy("sec", "k", "line")
-    return lines.select(F.row_number().over(w).alias("line_no"), "line")
+    """The text report as ordered ``(line_no, line)`` rows: overview, step
+    summary, step details and the profile of the final table.  All inputs but
+    ``labelled`` are tiny, and that one is only aggregated."""
+    banner, spark = "=" * 72, log.sparkSession
+    columns = [c for c in C.CLEAN_ORDER if c in labelled.columns]
+    parts: list[DataFrame] = []
+
+    def add(rows: DataFrame) -> None:
+        """rows (a, b, line), ordered by a and b within their part."""
+        parts.append(rows.select(F.lit(len(parts)).alias("part"), F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), "line"))
+
+    def text(*lines: str) -> None:
+        add(spark.createDataFrame([(i, 0, x) for i, x in enumerate(lines)], "a int, b int, line string"))
+
+    n = lambda c: F.format_number(F.col(c), 0)
+    text(banner, "  STUDENT RECORDS - DATA PREPROCESSING REPORT", f"  Generated : {generated}", banner, "", "OVERVIEW", "--------")
+    ends = log.agg(F.max_by("rows_before", -F.col("step")).alias("rows_in"), F.max_by("rows_after", "step").alias("rows_out")).withColumn("passed", validation.select("passed").scalar())
+    share = F.when(F.col("rows_in") > 0, (F.col("rows_in") - F.col("rows_out")) / F.col("rows_in") * 100).otherwise(0.0)
+    add(ends.select(F.posexplode(F.array(
+        F.concat(F.lit("  Input            : "), n("rows_in"), F.lit(f" rows x {source_columns} columns")),
+        F.concat(F.lit("  Output           : "), n("rows_out"), F.lit(f" rows x {len(columns)} columns")),
+        F.concat(F.lit("  Rows removed     : "), F.format_number(F.col("rows_in") - F.col("rows_out"), 0), F.format_string(" (%.1f%%)", share)),
+        F.concat(F.lit("  Overall status   : "), F.when(F.col("passed"), F.lit("CLEAN OK")).otherwise(F.lit("SEE WARNINGS"))))).alias("a", "line"), F.lit(0).alias("b")))
+    text("", "STEP SUMMARY", "------------", f"{'Step':<5} {'Title':<38} {'Rows Before':>11} {'Rows After':>10} {'Changed':>9}", "-" * 78)
+    add(log.select(F.col("step").alias("a"), F.lit(0).alias("b"), F.format_string(
+        "%-5d %-38s %11s %10s %9s", F.col("step"), F.col("title"), n("rows_before"), n("rows_after"), n("rows_affected")).alias("line")))
+    text("", "STEP DETAILS", "------------")
+    add(step_details(log).select(F.col("step").alias("a"), F.col("k").alias("b"), "line"))
+    text("", "FINAL DATASET PROFILE", "---------------------")
+    grades = ["math_grade", "ai_grade", "programming_grade"]
+    facts = labelled.agg(
+        F.count(F.lit(1)).alias("total"), F.min("gpa").alias("lo"), F.max("gpa").alias("hi"), F.avg("gpa").alias("mean"),
+        sum(F.sum(F.col(c).isNull().cast("long")) for c in columns).alias("missing"),
+        *[f(g).alias(f"{k}_{g}") for g in grades for k, f in (("avg", F.avg), ("min", F.min), ("max", F.max))])
+    add(facts.select(F.posexplode(F.array(
+        F.concat(F.lit("  Total students     : "), n("total")), F.lit(f"  Columns            : {len(columns)}"),
+        F.concat(F.lit("  Missing cells      : "), F.col("missing").cast("string")),
+        F.format_string("  GPA range          : %.2f - %.2f", "lo", "hi"), F.format_string("  GPA mean           : %.2f", "mean"),
+        *[F.format_string(f"  {g:<26} mean=%.1f  min=%d  max=%d", f"avg_{g}", f"min_{g}", f"max_{g}") for g in grades])).alias("a", "line"), F.lit(0).alias("b")))
+    for title, field in (("  Track distribution:", "recommended_track"), ("  Interest distribution:", "interest")):
+        if field in labelled.columns:
+            text("", title)
+            add(distribution_lines(labelled, field).select(F.col("k").alias("a"), F.lit(0).alias("b"), "line"))
+    text("", banner)
+    lines = reduce(DataFrame.unionByName, parts)
+    return lines.select(F.row_number().over(Window.orderBy("part", "a", "b", "line")).alias("line_no"), "line")   # about a hundred lines
+
+
+def write_report(lines: DataFrame, path: str) -> None:
+    """The report as one text file below ``path``."""
+    lines.coalesce(1).sortWithinPartitions("line_no").select("line").write.mode("overwrite").text(path)
