@@ -24,7 +24,20 @@ def handoff(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     spark, path = df.sparkSession, shared_path(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["handoff_path"] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete hand-off tables that nothing reads any more: all that was made
+    from them is written itself."""
+    for t in tables:
+        path = t.__dict__.pop("handoff_path", None)
+        if path:
+            jvm, jsc = t.sparkSession._jvm, t.sparkSession._jsc
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(jsc.hadoopConfiguration()).delete(place, True)
 
 
 def row_slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
@@ -140,7 +153,8 @@ def connected_components(edges: DataFrame, name: str = "components", max_rounds:
         small = (large.join(low2, "u").where("v <> m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low2.select("u", F.col("m").alias("v"))).distinct())
-        edges = handoff(small, f"{name}-{i}")
+        before, edges = edges, handoff(small, f"{name}-{i}")
+        discard(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == sign:
             break

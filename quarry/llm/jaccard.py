@@ -1,56 +1,65 @@
 """Operator 4 - n-gram Jaccard join with adaptive multi-match prefixes.
 
-A document's set holds 64-bit hashes of its distinct word shingles.  Sets are
-ordered rarest first (by a document-frequency sketch over all documents), and
-a document indexes a prefix of n - ceil(t n) + l tokens: two documents that
-reach the threshold t share at least min(l, l') tokens of their prefixes.  Each
-document picks its own l from 1 up to ``MAX_MATCH``: a longer prefix reads more
-postings, but asks for more shared tokens before the two sets are verified; the
-l of the least estimated cost wins.  Any order of the tokens gives right
-results; the sketch only sets the cost.
-
-Equal sets are one node from the start.  Only components are wanted, so a
-posting list is not expanded into pairs: in each round the list's centre (its
-most typical member) is verified against the members of other components, the
-links are joined to components, and lists inside one component are dropped.
-When a round links nothing more, all pairs of different components that share
-enough prefix tokens are verified, so no link between components is lost.
+A text's set holds 64-bit hashes of its distinct word shingles.  Sets are
+ordered rarest first, by exact document frequencies, and a text indexes a
+prefix of n - ceil(t n) + l tokens: two texts that reach the threshold t share
+at least min(l, l') tokens of their prefixes.  Each text picks its own l from 1
+up to ``MAX_MATCH``: a longer prefix reads more postings, but asks for more
+shared tokens before the two sets are verified; the l of the least estimated
+cost wins.
+
+Jobs: (1) every block of texts sends its tokens, three bytes each, to buckets,
+which find those that two texts have; (2) the blocks get them back with their
+frequencies.  A token of one text can't match, so the prefixes' other tokens
+become postings, and only the common tokens of indexed texts are kept for
+verification.  (3) Only components are wanted, so a posting list is not
+expanded into pairs: in each round the list's centre (its most typical member)
+is verified against the members of other components, the links are joined to
+components, and lists inside one component are dropped.  When a round links
+nothing more, all pairs of different components that share enough prefix
+tokens are verified, so no link between components is lost.
+
+Equal texts are one from the start, texts with equal sets one node.  Blocks
+are hashes of the text, so no block follows a source or a group of copies.
 
 Defined cases: null or blank texts have empty sets and link with nothing; a
 text with fewer words than a shingle is one token; repeated rows and equal
-sets share a component; ``component_id`` is the smallest doc_id; a set that
-only null doc_ids hold links with nothing (component_id null); an empty table gives no rows; other columns are
-ignored.  Hashes are 64 bits: a set's size or a pair's overlap is wrong by a
-collision with a probability below 2**-40 for sets under a million shingles.
+sets share a component; ``component_id`` is the smallest doc_id (null only
+where all of a component's are); an empty table gives no rows; other columns
+are ignored.  Hashes are 64 bits: a set's size or a pair's overlap is wrong by
+a collision with a probability below 2**-40 for sets under a million shingles.
+The bytes of a token that travel in job 1 only decide what may be left out: two
+tokens that agree in them are kept needlessly.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import RollingBytes, connected_components, handoff, mix64, row_slices, sum_vectors, text_sizes
+from quarry.llm.common import RollingBytes, connected_components, discard, handoff, mix64, row_slices
+from quarry.llm.packed import packed_blocks, unpack
+from quarry.llm.shared import SCHEMA, SharedKeys, key_rows, shared_keys, slices
 
 WORDS = 5
 THRESHOLD = 80  # per cent
-SKETCH_BITS = 22
-SKETCH_SLICES = 64
 MAX_MATCH = 6
 #: Cost of a verification in posting reads, per token of the set.
 VERIFY_COST = 0.25
 CHUNK = 1 << 20
-FLUSH = 2_000_000
-BUCKET_POSTINGS = 1_000_000
-#: A token with more estimated documents is dealt over several buckets.
-HOT_POSTINGS = 100_000
-STAR_ROUNDS = 4
-#: Node lists up to so many rows (16 bytes each) are broadcast, larger ones joined.
-BROADCAST_NODES = 2_000_000
+BLOCK_BYTES = 8 << 20
+#: Tokens that one bucket compares, about.
+BUCKET_TOKENS = 500_000
+STAR_ROUNDS = 3
+#: Up to so many copies (40 bytes each) are broadcast, to leave them out of
+#: job 1; with more their tokens only pass needlessly.
+BROADCAST_COPIES = 2_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -112,45 +121,9 @@ def _node(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
-    for lo, hi in row_slices(text_sizes(column), 2 * CHUNK):
-        yield lo, [(t or "").encode("utf-8") for t in column.slice(lo, hi - lo).to_pylist()]
-
-
-def _measure(words: int):
-    """Pass A: size and node of every document, and the task's share of the
-    document-frequency sketch."""
-    width = (1 << SKETCH_BITS) // SKETCH_SLICES
-    shift = np.uint64(64 - SKETCH_BITS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, held, n_held, any_row = np.zeros(1 << SKETCH_BITS, dtype=np.int32), [], 0, False
-
-        def batch(ids, n, node, part, values) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(part, pa.int32()), pa.array(values, pa.binary())],
-                                              names=["doc_id", "n", "node", "slice", "values"])
-
-        for b in batches:
-            for lo, texts in _slices(b.column(1)):
-                sets = shingle_sets(texts, words)
-                held += sets
-                n_held += sum(map(len, sets))
-                if n_held > FLUSH:
-                    count += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=len(count)).astype(np.int32)
-                    held, n_held = [], 0
-                any_row = True
-                yield batch(b.column(0).slice(lo, len(texts)), [len(s) for s in sets], [_node(s) if len(s) else None for s in sets], [None] * len(texts), [None] * len(texts))
-        if held:
-            count += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=len(count)).astype(np.int32)
-        if any_row:
-            k = SKETCH_SLICES
-            yield batch(pa.nulls(k, pa.int64()), [None] * k, [None] * k, list(range(k)), [count[i * width:(i + 1) * width].tobytes() for i in range(k)])
-    return run
-
-
 def choose_match(df: np.ndarray, size: int, required: int) -> int:
-    """The l of the least estimated cost; ``df``: estimated document counts of
-    the set's tokens, rarest first."""
+    """The l of the least estimated cost; ``df``: document counts of the set's
+    rarest tokens, rarest first."""
     base, most = size - required, min(MAX_MATCH, required)
     reads = np.cumsum(df[:base + most] - 1.0)[base:]  # of the prefixes for l = 1..most
     l = np.arange(1, most + 1)
@@ -158,110 +131,59 @@ def choose_match(df: np.ndarray, size: int, required: int) -> int:
     return int(np.argmin(base + l + reads + reads / l * (VERIFY_COST * size))) + 1
 
 
-def _prefixes(words: int, percent: int, sent, load: float, buckets: int):
-    """Pass B: prefix postings, packed by bucket, and the nodes' sizes, l and
-    rank (share of rare tokens: the most typical member of a family is least)."""
-    shift = np.uint64(64 - SKETCH_BITS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, seen = sent.value, set()
-        tokens: list[np.ndarray] = []
-        nodes: list[tuple[int, int, int, int, int]] = []  # node, size, l, rank, postings
-        held = 0
-
-        def flush() -> pa.RecordBatch:
-            token = np.concatenate(tokens)
-            node, size, match, rank, times = (np.array(x, dtype=np.int64) for x in zip(*nodes))
-            owner = np.repeat(node, times)
-            ranks = np.repeat(rank, times).astype(np.uint8)
-            spread = np.maximum(1, (sketch[(token >> shift).astype(np.int64)] - load) // HOT_POSTINGS + 1).astype(np.uint64)
-            part = np.where(spread > 1, mix64(owner.astype(np.uint64)) % spread, np.uint64(0))
-            bucket = (mix64(token + part * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            token, owner, ranks, hot, bucket = token[order], owner[order], ranks[order], (spread > 1)[order].astype(np.uint8), bucket[order]
-            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            ends = np.append(cut[1:], len(bucket))
-            data = [b"".join([np.int64(e - a).tobytes(), token[a:e].tobytes(), owner[a:e].tobytes(), ranks[a:e].tobytes(), hot[a:e].tobytes()]) for a, e in zip(cut, ends)]
-            about = np.stack([node, size, match], axis=1).astype(np.int64).tobytes()
-            tokens.clear()
-            nodes.clear()
-            return pa.RecordBatch.from_arrays([pa.array([*bucket[cut].astype(np.int32).tolist(), -1], pa.int32()), pa.array([*data, about], pa.binary())], names=["bucket", "data"])
-
-        for b in batches:
-            for _, texts in _slices(b.column(0)):
-                for s in shingle_sets(texts, words):
-                    if not len(s):
+# -- job 2: postings and sets of each block ---------------------------------------
+_BLOCK_ROWS = pa.schema([("kind", pa.int32()), ("h", pa.string()), ("n", pa.int64()), ("l", pa.int64()), ("node", pa.int64()), ("rank", pa.int32()), ("tokens", pa.binary())])
+
+
+def _index_block(words: int, percent: int, buckets: int):
+    """Kind 0: size and node of every text (by its hash h); kind 1: the
+    indexed nodes with their common tokens, those of the prefix first."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if left.num_rows:
+            common = SharedKeys(right.column("bucket").to_pylist(), right.column("data").to_pylist(), buckets)
+            docs, seen_text, seen_node = unpack(left.column("data").to_pylist()), set(), set()
+            hashes = docs.column("h").to_pylist()
+            for lo, texts in slices(docs.column("text").combine_chunks()):
+                for h, s in zip(hashes[lo:lo + len(texts)], shingle_sets(texts, words)):
+                    if h in seen_text:
                         continue
-                    node = _node(s)
-                    if node in seen:
+                    seen_text.add(h)
+                    node, n = _node(s) if len(s) else None, len(s)
+                    out.append((0, h, n, None, node, None, None))
+                    if not n or not len(common.known) or node in seen_node:
                         continue
-                    if len(seen) < 1_000_000:
-                        seen.add(node)
-                    count = sketch[(s >> shift).astype(np.int64)]
-                    n = len(s)
+                    seen_node.add(node)
+                    df = common.texts_with(s)
                     required = (percent * n + 99) // 100
-                    top = min(n, n - required + MAX_MATCH)
-                    if top < n:
-                        pick = np.argpartition(count, top - 1)
-                        # all tokens up to the last count, so that ties go by the hash alone
-                        pick = np.flatnonzero(count <= count[pick[top - 1]])
-                    else:
-                        pick = np.arange(n)
-                    order = pick[np.lexsort((s[pick], count[pick]))]
-                    df = np.maximum(1.0, count[order] - load)
-                    match = choose_match(df, n, required)
-                    prefix = s[order[:n - required + match]]
-                    rank = int(255 * np.count_nonzero(count <= 1.5 * load + 2) / n)
-                    tokens.append(prefix)
-                    nodes.append((node, n, match, rank, len(prefix)))
-                    held += len(prefix)
-                if held > FLUSH:
-                    yield flush()
-                    held = 0
-        if nodes:
-            yield flush()
+                    rare = int(np.count_nonzero(df == 1))
+                    if rare >= n - required + min(MAX_MATCH, required):  # every prefix ends among its own tokens
+                        continue
+                    order = np.lexsort((s, df))
+                    match = choose_match(df[order].astype(float), n, required)
+                    size = n - required + match
+                    if rare >= size:
+                        continue
+                    mine = s[order[rare:]]
+                    out.append((1, None, n, match, node, 255 * rare // n, (size - rare).to_bytes(4, "little") + mine.tobytes()))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, _BLOCK_ROWS.types)], schema=_BLOCK_ROWS)
     return run
 
 
-def _shared_postings(table: pa.Table) -> pa.Table:
-    """Of one bucket: the postings of tokens that several nodes have."""
-    token, node, rank, hot = [], [], [], []
-    for x in table.column("data").to_pylist():
-        n = int(np.frombuffer(x, dtype=np.int64, count=1)[0])
-        token.append(np.frombuffer(x, dtype=np.uint64, count=n, offset=8))
-        node.append(np.frombuffer(x, dtype=np.int64, count=n, offset=8 + 8 * n))
-        rank.append(np.frombuffer(x, dtype=np.uint8, count=n, offset=8 + 16 * n))
-        hot.append(np.frombuffer(x, dtype=np.uint8, count=n, offset=8 + 17 * n))
-    token, node, rank, hot = map(np.concatenate, (token, node, rank, hot))
-    order = np.argsort(token, kind="stable")
-    token, node, rank, hot = token[order], node[order], rank[order], hot[order]
-    first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-    size = np.diff(np.append(first, len(token)))
-    several = (np.minimum.reduceat(node, first) < np.maximum.reduceat(node, first)) | (hot[first] > 0)
-    keep = np.repeat(several, size)
-    token, node, rank = token[keep], node[keep], rank[keep]
-    order = np.lexsort((node, token))
-    token, node, rank = token[order], node[order], rank[order]
-    fresh = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1])) if len(token) else np.zeros(0, dtype=bool)
-    return pa.table({"token": token[fresh].astype(np.int64), "node": node[fresh], "rank": rank[fresh].astype(np.int32)})
-
-
-def _about(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for x in b.column(0).to_pylist():
-            t = np.frombuffer(x, dtype=np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([pa.array(t[:, 0]), pa.array(t[:, 1]), pa.array(t[:, 2])], names=["node", "n", "l"])
-
-
-def _sets(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo, texts in _slices(b.column(1)):
-                want = b.column(0).slice(lo, len(texts)).to_pylist()
-                # a doc_id may repeat with other texts: keep the set that is the node
-                rows = [(n, s.tobytes()) for n, s in zip(want, shingle_sets(texts, words)) if len(s) and _node(s) == n]
-                yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.binary())], names=["node", "tokens"])
-    return run
+        token, size = [], []
+        for x in b.column(2).to_pylist():
+            n = int.from_bytes(x[:4], "little")
+            token.append(np.frombuffer(x, dtype=np.int64, count=n, offset=4))
+            size.append(n)
+        if token:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token)), pa.array(np.repeat(b.column(0).to_numpy(), size)), pa.array(np.repeat(b.column(1).to_numpy(), size))], names=["token", "node", "rank"])
+
+
+def _sorted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.sort(np.frombuffer(x, dtype=np.uint64, offset=4)).tobytes() for x in b.column(1).to_pylist()], pa.binary())], names=["node", "tokens"])
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,23 +194,36 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Join:
-    """The job's tables: documents (id, text), measured (doc_id, n, node),
-    postings (token, node, rank) and about (node, n, l)."""
+    """The job's tables: measured (doc_id, n, node), about (node, n, l),
+    postings (token, node, rank) and sets (node, tokens)."""
 
     def __init__(self, docs: DataFrame, words: int, percent: int):
-        self.docs, self.words, self.percent = docs, words, percent
-        spark = docs.sparkSession
-        measured = handoff(docs.mapInArrow(_measure(words), "doc_id long, n long, node long, slice int, values binary"), "jaccard-measured")
-        self.measured = measured.where("slice is null").select("doc_id", "n", "node")
-        sketch = sum_vectors(spark, measured.where("slice is not null").select("slice", "values"), SKETCH_SLICES, (1 << SKETCH_BITS) // SKETCH_SLICES)
-        total = int(sketch.sum())
-        load = total / len(sketch)
-        sent = spark.sparkContext.broadcast(np.minimum(sketch, 2**31 - 1).astype(np.int32))  # 4 << SKETCH_BITS bytes
-        buckets = max(1, -(-(total * (100 - percent) // 100) // BUCKET_POSTINGS))
-        packed = handoff(docs.select("text").mapInArrow(_prefixes(words, percent, sent, load, buckets), "bucket int, data binary"), "jaccard-prefixes")
-        self.about = handoff(packed.where("bucket < 0").select("data").mapInArrow(_about, "node long, n long, l long").groupBy("node").agg(F.max("n").alias("n"), F.max("l").alias("l")), "jaccard-about")
-        self.postings = handoff(packed.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared_postings, "token long, node long, rank int"), "jaccard-postings")
-        self.holders = handoff(self.measured.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-holders")
+        self.percent = percent
+        body = F.coalesce("text", F.lit(""))
+        docs = docs.select("doc_id", body.alias("text"), F.sha2(body, 256).alias("h"))
+        meta = handoff(docs.select("doc_id", "h", F.octet_length("text").alias("size")), "jaccard-meta")
+        total = meta.agg(F.sum("size")).first()[0] or 0
+        blocks, buckets = max(1, -(-total // BLOCK_BYTES)), max(64, -(-total // (6 * BUCKET_TOKENS)))
+        block = F.pmod(F.xxhash64("h"), F.lit(blocks)).cast("int")
+        least = meta.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+        copies = handoff(meta.join(least, "h").where("doc_id > least").select("doc_id", "h").distinct(), "jaccard-copies")
+        once = docs.join(F.broadcast(copies), ["doc_id", "h"], "left_anti") if copies.count() <= BROADCAST_COPIES else docs
+        tokens = once.select("text", block.alias("block")).mapInArrow(key_rows(partial(shingle_sets, words=words), buckets), "bucket int, data binary")
+        common = tokens.groupBy("bucket").applyInArrow(shared_keys, SCHEMA)
+        texts = packed_blocks(once.select("h", "text", block.alias("block")))
+        schema = "kind int, h string, n long, l long, node long, rank int, tokens binary"
+        rows = handoff(texts.groupBy("block").cogroup(common.groupBy("block")).applyInArrow(_index_block(words, percent, buckets), schema), "jaccard-index")
+        self.measured = handoff(meta.join(rows.where("kind = 0").select("h", "n", "node"), "h").select("doc_id", "n", "node"), "jaccard-measured")
+        # texts of one node may lie in different blocks: any of them serves
+        nodes = rows.where("kind = 1").select("node", "n", "l", "rank", "tokens").dropDuplicates(["node"])
+        nodes = handoff(nodes, "jaccard-nodes")
+        discard(rows, meta, copies)
+        self.nodes = nodes
+        self.about = nodes.select("node", "n", "l")
+        self.sets = nodes.select("node", "tokens").mapInArrow(_sorted_sets, "node long, tokens binary")
+        postings = nodes.select("node", "rank", "tokens").mapInArrow(_postings, "token long, node long, rank int")
+        self.postings = handoff(postings, "jaccard-postings")
+        self.holders = self.measured.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def _sized(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b, shared) that may reach the threshold, with sizes."""
@@ -299,13 +234,10 @@ class _Join:
                 .select("a", "b", "na", "nb"))
 
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The linked pairs (a, b) of candidate pairs, by whole sets."""
-        pairs = handoff(pairs, f"jaccard-{name}-pairs")
-        wanted = handoff(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(self.holders, "node").select("node", "doc_id"), f"jaccard-{name}-wanted")
-        side = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
-        sets = self.docs.join(side, "doc_id").select("node", "text").mapInArrow(_sets(self.words), "node long, tokens binary")
-        joined = (pairs.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-                  .join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
+        """The linked pairs (a, b) of candidate pairs, by whole sets: tokens
+        that one text alone has aren't in an intersection."""
+        joined = (pairs.join(self.sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
+                  .join(self.sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
                   .select("a", "b", "ta", "tb", "na", "nb"))
         out = joined.mapInArrow(_overlap, "a long, b long, na long, nb long, both long")
         return handoff(out.where(100 * F.col("both") >= self.percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b").distinct(), f"jaccard-{name}-links")
@@ -313,10 +245,10 @@ class _Join:
     def labelled(self, links: DataFrame | None, name: str) -> DataFrame:
         """Postings with the component of their node, without tokens that lie
         in one component."""
-        if links is None:
-            return self.postings.withColumn("comp", F.col("node"))
-        rows = (self.postings.join(connected_components(links, f"jaccard-{name}").withColumnRenamed("component", "comp"), "node", "left")
-                .withColumn("comp", F.coalesce("comp", "node")))
+        rows = self.postings.withColumn("comp", F.col("node"))
+        if links is not None:
+            rows = (self.postings.join(connected_components(links, f"jaccard-{name}").withColumnRenamed("component", "comp"), "node", "left")
+                    .withColumn("comp", F.coalesce("comp", "node")))
         mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
         return handoff(rows.join(mixed, "token"), f"jaccard-{name}-mixed")
 
@@ -337,27 +269,31 @@ class _Join:
             & (100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2")))
         return self._sized(pairs.groupBy("a", "b").agg(F.count("*").alias("shared")))
 
-    def links(self) -> DataFrame:
-        links = None
-        for turn in range(STAR_ROUNDS):
-            rows = self.labelled(links, f"star{turn}")
-            fresh = self.verify(self.star(rows, turn), f"star{turn}")
-            if links is not None and fresh.isEmpty():
+    def links(self) -> list[DataFrame]:
+        """Tables of verified links (a, b) that connect what links connect."""
+        found: list[DataFrame] = []
+        for turn in range(STAR_ROUNDS + 1):
+            links = reduce(DataFrame.union, found) if found else None
+            rows = self.labelled(links, f"round{turn}")
+            last = turn == STAR_ROUNDS or bool(found) and found[-1].isEmpty()
+            found.append(self.verify(self.rest(rows) if last else self.star(rows, turn), f"round{turn}"))
+            discard(rows)
+            if last:
                 break
-            links = fresh if links is None else links.union(fresh)
-        return links.union(self.verify(self.rest(self.labelled(links, "rest")), "rest"))
+        discard(self.nodes, self.postings)
+        return found
 
 
 def components(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row (doc_id, n_shingles, component_id) for each row of ``docs``."""
     join = _Join(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), words, percent)
-    holders = join.holders.select("node", F.col("doc_id").alias("least"))
-    links = (join.links().join(holders.select(F.col("node").alias("a"), F.col("least").alias("la")), "a")
-             .join(holders.select(F.col("node").alias("b"), F.col("least").alias("lb")), "b")
-             .select(F.col("la").alias("a"), F.col("lb").alias("b")))
-    found = connected_components(links, "jaccard-all")
-    full = (join.measured.where("node is not null").join(holders, "node")
-            .join(found.withColumnRenamed("node", "least"), "least", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "least", "doc_id").alias("component_id")))
+    found = join.links()
+    parts = connected_components(reduce(DataFrame.union, found), "jaccard-all")
+    discard(*found)
+    # nodes to components to the smallest doc_id of a component
+    of = handoff(join.holders.join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("part"), "doc_id"), "jaccard-parts")
+    least = of.groupBy("part").agg(F.min("doc_id").alias("component_id"))
+    named = of.join(least, "part").select("node", "component_id")
+    full = join.measured.where("node is not null").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = join.measured.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.union(empty)

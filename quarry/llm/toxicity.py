@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quarry.llm.common import handoff, sum_vectors
+from quarry.llm.common import discard, handoff, sum_vectors
 
 #: Bound of the training sample, in labelled texts.
 TRAIN_ROWS = 20_000
@@ -151,7 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     width = max(1, len(kept))
     to_vector = F.udf(lambda at, value: Vectors.sparse(width, at, value), VectorUDT())
     features = handoff(rows.select(to_vector("at", "value").alias("features"), F.col("label").cast("double").alias("label")), "toxicity-features")
-    fitted = LogisticRegression(regParam=PENALTY, elasticNetParam=0.0, standardization=False, maxIter=60, tol=1e-6).fit(features)
+    fitted = LogisticRegression(regParam=PENALTY, elasticNetParam=0.0, standardization=False, maxIter=40, tol=1e-6).fit(features)
+    discard(train, features)
     weight = np.zeros(size)
     weight[kept] = fitted.coefficients.toArray()[:len(kept)] * ratio
     return Model(weight, float(fitted.intercept))
