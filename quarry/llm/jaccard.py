@@ -6,7 +6,7 @@ prefix of n - ceil(t n) + l tokens: two texts that reach the threshold t share
 at least min(l, l') tokens of their prefixes.  Each text picks its own l from 1
 up to ``MAX_MATCH``: a longer prefix reads more postings, but asks for more
 shared tokens before the two sets are verified; the l of the least estimated
-cost wins.
+cost wins.  A pair also needs enough common tokens on both sides.
 
 Jobs: (1) every block of texts sends its tokens, three bytes each, to buckets,
 which find those that two texts have; (2) the blocks get them back with their
@@ -40,7 +40,7 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import RollingBytes, connected_components, discard, handoff, mix64, row_slices
@@ -219,18 +219,23 @@ class _Join:
         nodes = handoff(nodes, "jaccard-nodes")
         discard(rows, meta, copies)
         self.nodes = nodes
-        self.about = nodes.select("node", "n", "l")
+        # c: tokens that other texts have too; no overlap is larger
+        self.about = nodes.select("node", "n", "l", ((F.octet_length("tokens") - 4) / 8).cast("long").alias("c"))
         self.sets = nodes.select("node", "tokens").mapInArrow(_sorted_sets, "node long, tokens binary")
         postings = nodes.select("node", "rank", "tokens").mapInArrow(_postings, "token long, node long, rank int")
         self.postings = handoff(postings, "jaccard-postings")
         self.holders = self.measured.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
+    def _may_link(self, n1: str, n2: str, c1: str, c2: str) -> Column:
+        """Sizes and common tokens allow the threshold."""
+        return ((100 * F.least(n1, n2) >= self.percent * F.greatest(n1, n2))
+                & ((100 + self.percent) * F.least(c1, c2) >= self.percent * (F.col(n1) + F.col(n2))))
+
     def _sized(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b, shared) that may reach the threshold, with sizes."""
-        about = self.about
-        return (pairs.join(about.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("l").alias("la")), "a")
-                .join(about.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("l").alias("lb")), "b")
-                .where((F.col("shared") >= F.least("la", "lb")) & (100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")))
+        side = lambda x: self.about.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("l").alias(f"l{x}"), F.col("c").alias(f"c{x}"))
+        return (pairs.join(side("a"), "a").join(side("b"), "b")
+                .where((F.col("shared") >= F.least("la", "lb")) & self._may_link("na", "nb", "ca", "cb"))
                 .select("a", "b", "na", "nb"))
 
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -261,12 +266,10 @@ class _Join:
 
     def rest(self, rows: DataFrame) -> DataFrame:
         """All candidates between different components."""
-        sized = rows.join(self.about.select("node", "n"), "node")
-        left = sized.select("token", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("n1"))
-        right = sized.select("token", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("n2"))
-        pairs = left.join(right, "token").where(
-            (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-            & (100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2")))
+        sized = rows.join(self.about.select("node", "n", "c"), "node")
+        left = sized.select("token", F.col("node").alias("a"), F.col("comp").alias("p1"), F.col("n").alias("n1"), F.col("c").alias("c1"))
+        right = sized.select("token", F.col("node").alias("b"), F.col("comp").alias("p2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
+        pairs = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("p1") != F.col("p2")) & self._may_link("n1", "n2", "c1", "c2"))
         return self._sized(pairs.groupBy("a", "b").agg(F.count("*").alias("shared")))
 
     def links(self) -> list[DataFrame]:
