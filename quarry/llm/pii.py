@@ -112,14 +112,20 @@ def _iban(m: re.Match, p: Permute) -> str | None:
 
 
 def _phone(m: re.Match, p: Permute) -> str | None:
-    area, exchange, line = m["area"] or m["area2"], m["exchange"], m["line"]
-    if area[0] in "01" or exchange[0] in "01":
-        return None
-    x = p(((int(area) - 200) * 800 + int(exchange) - 200) * 10_000 + int(line), 800 * 800 * 10_000, "phone")
-    head, line = divmod(x, 10_000)
-    new = f"{head // 800 + 200}{head % 800 + 200}{line:04d}"
+    """Assigned codes and those that begin with 0 or 1 are permuted each among
+    themselves; the latter are a phone only behind the country code."""
+    area, exchange, line = int(m["area"] or m["area2"]), int(m["exchange"]), int(m["line"])
     at = m.start("area" if m["area"] else "area2") - m.start()
-    return m[0][:at] + _refill(m[0][at:], new)
+    if area >= 200 and exchange >= 200:
+        head, line = divmod(p(((area - 200) * 800 + exchange - 200) * 10_000 + line, 800 * 800 * 10_000, "phone"), 10_000)
+        area, exchange = head // 800 + 200, head % 800 + 200
+    elif m["country"]:
+        head = area * 1000 + exchange if area < 200 else 200_000 + (area - 200) * 200 + exchange
+        head, line = divmod(p(head * 10_000 + line, 360_000 * 10_000, "phone01"), 10_000)
+        area, exchange = divmod(head, 1000) if head < 200_000 else ((head - 200_000) // 200 + 200, head % 200)
+    else:
+        return None
+    return m[0][:at] + _refill(m[0][at:], f"{area:03d}{exchange:03d}{line:04d}")
 
 
 def _ssn(m: re.Match, p: Permute) -> str | None:
@@ -233,7 +239,7 @@ KINDS: list[tuple[str, re.Pattern, Callable[[re.Match, Permute], str | None]]] =
     ("access_key", re.compile(r"(?<!\w)((?:AKIA|ASIA))([A-Z0-9]{16})(?!\w)"), _access_key),
     ("secret", re.compile(r"""((?i:\b(?:password|passwd|secret|token|api_?key))\s*[:=]\s*["']?)([0-9a-f]{12,}|[0-9A-F]{12,})(["']?(?!\w))"""), _secret),
     ("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"), _card),
-    ("phone", re.compile(r"(?<![\w.-])(?:\+?1[ .-]?)?(?:\((?P<area>\d{3})\) ?|(?P<area2>\d{3})[ .-])(?P<exchange>\d{3})[ .-]?(?P<line>\d{4})(?![\w-]|\.\d)"), _phone),
+    ("phone", re.compile(r"(?<![\w.-])(?P<country>\+?1[ .-]?)?(?:\((?P<area>\d{3})\) ?|(?P<area2>\d{3})[ .-])(?P<exchange>\d{3})[ .-]?(?P<line>\d{4})(?![\w-]|\.\d)"), _phone),
     ("ssn", re.compile(r"(?<![\w.-])(\d{3})-(\d{2})-(\d{4})(?![\w-]|\.\d)"), _ssn),
     ("ipv4", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"), _ipv4),
     ("date", re.compile(r"(?<![\w.-])(\d{4})([-/.])(\d{2})\2(\d{2})(?![\w-]|\.\d)"), _date_ymd),

@@ -224,3 +224,11 @@ def test_pii_query_and_odd_documents(spark, sf):
     assert got.columns == [*docs.columns, "n_values", "kinds"]
     assert sorted((r["doc_id"], r["text"]) for r in got.where("doc_id is not null").collect() if r["text"] is not None) == sorted((r["doc_id"], r["text"]) for r in docs.where("doc_id is not null").collect() if r["text"] is not None)
     assert pii.pseudonymise(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("phone", ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1 212-155-0199", "1.999.099.0000", "+1 (000) 000-0000"])
+def test_phones_whose_codes_begin_with_0_or_1_are_replaced(phone):
+    there, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
+    new, count = there.replace(f"call {phone}, or {phone}")
+    assert count == {"phone": 2} and phone not in new and there.replace(new)[1] == count
+    assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", f"call {phone}, or {phone}") and back.replace(new)[0] == f"call {phone}, or {phone}"
