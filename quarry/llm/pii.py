@@ -9,7 +9,9 @@ Kinds: payment cards (Luhn; the first digit stays, the check digit follows),
 bank accounts (IBAN, mod 97), North American phones, social security numbers,
 IPv4 addresses, calendar dates of 1900 to 2099 in several notations, local
 parts of e-mail addresses, cloud access keys and hexadecimal secrets behind a
-name.  Where candidates overlap the earlier kind of this list wins.  Digits that
+name.  Where candidates overlap the earlier kind of this list wins.  Where a
+number or word behind a card or bank account spoils its check, the shorter ends
+are tried at group and word boundaries.  Digits that
 validate as nothing stay as they are.
 
 Every row is read on its own: no shuffle, nothing collected.  Defined cases:
@@ -91,9 +93,13 @@ def _card(m: re.Match, p: Permute) -> str | None:
     digits = re.sub(r"\D", "", m[0])
     if len(set(digits)) < 2 or digits[0] == "0" or luhn_digit(digits[:-1]) != digits[-1]:
         return None
-    n = len(digits) - 2
-    new = digits[0] + str(p(int(digits[1:-1]), 10**n, f"card{n}")).zfill(n)
-    return _refill(m[0], new + luhn_digit(new))
+    n, x = len(digits) - 2, int(digits[1:-1])
+    while True:  # stay among the cards that a longer number around them takes alike
+        x = p(x, 10**n, f"card{n}")
+        new = digits[0] + str(x).zfill(n)
+        new += luhn_digit(new)
+        if luhn_digit(new) == luhn_digit(digits) and len(set(new)) > 1:
+            return _refill(m[0], new)
 
 
 def _iban_check(country: str, rest: str) -> str:
@@ -111,6 +117,19 @@ def _iban(m: re.Match, p: Permute) -> str | None:
     return "".join(c if c == " " else next(it) for c in m[0])
 
 
+def _ends(kind: str, m: re.Match) -> list[int]:
+    """Where a value that begins as the match does may end, the first to try
+    first: cards and IBANs end at any group, since a number or word may follow,
+    and an IBAN where its country's length is reached."""
+    if kind not in ("card", "iban"):
+        return [m.end()]
+    ends = [m.end(), *(m.start() + i for i in range(len(m[0]) - 1, 0, -1) if m[0][i] in " -")]
+    length = IBAN_LENGTHS.get(m[0][:2]) if kind == "iban" else None
+    if length is None:
+        return ends
+    return [*(e for e in ends if len(m[0][:e - m.start()].replace(" ", "")) == length), m.end()]
+
+
 def _phone(m: re.Match, p: Permute) -> str | None:
     """Assigned codes and those that begin with 0 or 1 are permuted each among
     themselves; the latter are a phone only behind the country code."""
@@ -232,6 +251,12 @@ def _secret(m: re.Match, p: Permute) -> str | None:
     return m[1] + (new.upper() if value.upper() == value and value.lower() != value else new) + m[3]
 
 
+#: The registry's lengths by country.
+IBAN_LENGTHS = {c: n for n, names in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}.items() for c in names.split()}
 _MONTH = r"(?:Jan(?:uary|\.)?|Feb(?:ruary|\.)?|Mar(?:ch|\.)?|Apr(?:il|\.)?|May|June?\.?|July?\.?|Aug(?:ust|\.)?|Sep(?:tember|\.)?|Oct(?:ober|\.)?|Nov(?:ember|\.)?|Dec(?:ember|\.)?)"
 KINDS: list[tuple[str, re.Pattern, Callable[[re.Match, Permute], str | None]]] = [
     ("email", re.compile(r"(?<![\w.+%-])([A-Za-z0-9][A-Za-z0-9._%+-]*)(@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,})(?![\w-])"), _email),
@@ -263,12 +288,22 @@ class Pseudonyms:
             return text, {}
         spans: list[tuple[int, int, str, str]] = []
         for kind, pattern, make in KINDS:
-            for m in pattern.finditer(text):
-                if any(a < m.end() and m.start() < e for a, e, _, _ in spans):
+            at = 0
+            while m := pattern.search(text, at):
+                start, at = m.start(), m.end()
+                inside = next((e for a, e, _, _ in spans if a <= start < e), None)
+                if inside is not None:  # an earlier kind's value: go on behind it
+                    at = inside
                     continue
-                new = make(m, self.permute)
-                if new is not None:
-                    spans.append((m.start(), m.end(), new, kind))
+                for end in _ends(kind, m):
+                    if any(a < end and start < e for a, e, _, _ in spans):
+                        continue
+                    part = m if end == m.end() else pattern.match(text, start, end)
+                    new = part and make(part, self.permute)
+                    if new is not None:
+                        spans.append((start, end, new, kind))
+                        at = end
+                        break
         if not spans:
             return text, {}
         spans.sort()

@@ -232,3 +232,17 @@ def test_phones_whose_codes_begin_with_0_or_1_are_replaced(phone):
     new, count = there.replace(f"call {phone}, or {phone}")
     assert count == {"phone": 2} and phone not in new and there.replace(new)[1] == count
     assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", f"call {phone}, or {phone}") and back.replace(new)[0] == f"call {phone}, or {phone}"
+
+
+@pytest.mark.parametrize("value, behind, kind", [
+    ("4111 1111 1111 1111", " 12/27", "card"), ("4111111111111111", " 123", "card"), ("3782 822463 10005", " 1234", "card"), ("4111-1111-1111-1111", "-123", "card"),
+    ("4111 1111 1111 1111", " 12@mail.example", "card"),
+    ("DE89370400440532013000", " BIC COBADEFF", "iban"), ("DE89 3704 0044 0532 0130 00", " 2021", "iban"), ("GB82 WEST 1234 5698 7654 32", " I paid", "iban"),
+    ("GB82 WEST 1234 5698 7654 32", " 4111 1111 1111 1111", "iban"), ("DE89 3704 0044 0532 0130 00", " IBAN@mail.example", "iban")])
+def test_values_are_found_before_a_number_or_word(value, behind, kind):
+    for key in range(30):
+        there, back = pii.Pseudonyms(b"%d" % key), pii.Pseudonyms(b"%d" % key, back=True)
+        new, count = there.replace(f"pay {value}{behind}")
+        assert count[kind] == 1 and value not in new and back.replace(new)[0] == f"pay {value}{behind}"
+        assert new.startswith(there.replace(f"pay {value}")[0])  # linked
+        assert count.get("card", 0) == ("card" == kind) + ("4111" in behind)
