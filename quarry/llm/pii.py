@@ -272,7 +272,8 @@ KINDS: list[tuple[str, re.Pattern, Callable[[re.Match, Permute], str | None]]] =
     ("date", re.compile(rf"(?<!\w)(?:(?P<d1>\d{{1,2}}) (?P<m1>{_MONTH}) (?P<y1>\d{{4}})|(?P<m2>{_MONTH}) (?P<d2>\d{{1,2}}),? (?P<y2>\d{{4}}))(?!\w)"), _date_named),
 ]
 KIND_NAMES = tuple(dict.fromkeys(k for k, _, _ in KINDS))
-_LIKELY = re.compile(r"[0-9@]")
+#: What any value has: access keys and hexadecimal secrets may be letters alone.
+_LIKELY = re.compile(r"[0-9@]|AKIA|ASIA|(?i:passw(?:or)?d|secret|token|api_?key)")
 
 
 class Pseudonyms:
