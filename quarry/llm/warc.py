@@ -17,8 +17,9 @@ Which record answers for equal payloads is found on (hash, id) rows, aggregated
 before the shuffle; payloads never meet by content.  Defined cases: null html is
 an empty payload; rows that repeat id and payload give a record each (all
 responses, where their id is the largest); a null url is left out; line breaks
-in a url are percent-encoded; a null id can't name a record and is an error; an
-empty table gives no rows.
+in a url are percent-encoded; a row with a null id is a response named by its
+digest with an empty page part, read back as a null id, that neither revisits
+nor is revisited; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -76,11 +77,15 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return b"\r\n".join(lines) + b"\r\n\r\n" + block
 
 
-def _uri(page: int, digest: str) -> str:
-    return f"<urn:page:{page}:{digest}>"
+def _uri(page: int | None, digest: str) -> str:
+    return f"<urn:page:{_part(page)}:{digest}>"
 
 
-def segments(page: int, url: str | None, payload: bytes, refers: int | None, size: int = SEGMENT_BYTES) -> list[bytes]:
+def _part(page: int | None) -> str:
+    return "" if page is None else str(page)
+
+
+def segments(page: int | None, url: str | None, payload: bytes, refers: int | None, size: int = SEGMENT_BYTES) -> list[bytes]:
     """The records of one row."""
     digest = sha1_base32(payload)
     where = None if url is None else re.sub(r"[\x00-\x20]", lambda m: f"%{ord(m[0]):02X}", url)
@@ -98,7 +103,7 @@ def segments(page: int, url: str | None, payload: bytes, refers: int | None, siz
     out = [record([*head, ("WARC-Segment-Number", 1), *about], parts[0])]
     for n, part in enumerate(parts[1:], 2):
         last = [("WARC-Segment-Total-Length", len(block))] if n == len(parts) else []
-        out.append(record([("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{page}:{digest}:{n}>"), ("WARC-Segment-Origin-ID", _uri(page, digest)),
+        out.append(record([("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{_part(page)}:{digest}:{n}>"), ("WARC-Segment-Origin-ID", _uri(page, digest)),
                            ("WARC-Segment-Number", n), *last, ("WARC-Date", DATE)], part))
     return out
 
@@ -121,19 +126,13 @@ def write(rows: DataFrame, path: str, key: str = "page_id", url: str = "url", ht
         for b in batches:
             for lo, hi in row_slices(text_sizes(b.column(2)), WRITE_BYTES):
                 part = b.slice(lo, hi - lo)
-                out = [r for i, u, p, x in zip(*(c.to_pylist() for c in part.columns)) for r in segments(_known(i), u, p, x, segment_bytes)]
+                out = [r for i, u, p, x in zip(*(c.to_pylist() for c in part.columns)) for r in segments(i, u, p, x, segment_bytes)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     (named.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
      .write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
-def _known(i: int | None) -> int:
-    if i is None:
-        raise ValueError("a row without an id can't be named in an archive")
-    return i
-
-
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers by lower-case name, block) of an archive's records."""
     at = 0
@@ -165,7 +164,8 @@ _SCHEMA = pa.schema([("record_id", pa.string()), ("page_id", pa.int64()), ("reco
 
 
 def _page(uri: str | None) -> int | None:
-    return int(uri.strip("<>").split(":")[2]) if uri else None
+    part = uri.strip("<>").split(":")[2] if uri else ""
+    return int(part) if part else None
 
 
 def finished(headers: dict[str, str], block: bytes) -> tuple:
@@ -183,7 +183,7 @@ def finished(headers: dict[str, str], block: bytes) -> tuple:
 
 def assemble(pieces: list[tuple[int, dict[str, str], bytes]]) -> list[tuple]:
     """The rows of the segments (number, headers, block) of one origin id; a
-    record that was written several times gives as many rows."""
+    record that was written several times gives as many rows, each with its own url."""
     pieces.sort(key=lambda x: x[0])
     copies = sum(n == 1 for n, _, _ in pieces)
     if not copies or len(pieces) % copies or [n for n, _, _ in pieces] != [1 + i // copies for i in range(len(pieces))]:
@@ -192,7 +192,7 @@ def assemble(pieces: list[tuple[int, dict[str, str], bytes]]) -> list[tuple]:
     block = b"".join(x for _, _, x in once)
     if int(once[-1][1].get("warc-segment-total-length", -1)) != len(block):
         raise ValueError("the segments' length isn't the total length")
-    return [finished(once[0][1], block)] * copies
+    return [finished(headers, block) for _, headers, _ in pieces[:copies]]
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -40,6 +40,13 @@ def test_warc_odd_pages(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_pages_without_id(spark):
+    rows = [(None, "a", "same" * 30_000), (None, "b", "same" * 30_000), (1, "c", "same" * 30_000), (2, "d", "same" * 30_000), (None, "e", "x"), (3, "f", "x"), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [(r["page_id"], r["url"], r["record_type"], r["refers_to"], None if r["payload"] is None else bytes(r["payload"]).decode()) for r in warc.round_trip(pages).collect()]
+    assert sorted(got, key=str) == sorted([(p, u, "revisit", 2, None) if p == 1 else (p, u, "response", None, h or "") for p, u, h in rows], key=str)
+
+
 def test_only_long_payloads_are_revisited(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id long, url string, html string")
     assert {r["page_id"]: r["refers_to"] for r in warc.round_trip(pages, least_bytes=3).collect()} == {1: None, 2: None, 3: 4, 4: None}
