@@ -6,11 +6,16 @@ driver.  There the configuration LP
 
     min sum_c x_c   with   sum_c a[c, L] x_c >= n_L for every length L
 
-is solved by multiplicative weights: the length weights price a knapsack
-dynamic program over the capacity, the best configuration gets a step, and the
-weights of the lengths it covers shrink.  The fractional solution is rounded
-down within what is left of each length, and the rest is packed best fit
-decreasing, in bulk over equal lengths.  The plan is a list of
+is covered by multiplicative weights: the length weights price a knapsack
+dynamic program over the capacity, one pass of which gives the best
+configuration by longest length; those within ``NEAR`` of the best get a step of
+as many whole copies as their scarcest length allows, and the weights of the
+lengths they cover shrink.  A cover goes on until at most a ``REST`` of the tokens
+is left, which is packed best fit decreasing, in bulk over equal lengths: the
+rounding remainder, and the only part that best fit packs.  Each cover's prices
+bound the number of sequences from below; while the gap is above ``GAP``, up to
+``COVERS`` covers follow with weights raised for lengths in loose configurations,
+and the fewest sequences count.  The plan is a list of
 (configuration, copies) whose size doesn't depend on the number of documents;
 Spark numbers the pieces of each length in data-derived buckets and looks each
 number up in the plan.
@@ -22,9 +27,10 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +43,13 @@ from quarry.llm.common import handoff, row_slices, text_sizes
 
 CAPACITY = 4096
 END_ID = 1
-LP_STEPS = 64
-WEIGHT_STEP = 0.5
+WEIGHT_STEP = 0.1
+NEAR = 0.05
+REST = 1 / 128
+GAP = 1 / 1000
+COVERS = 4
+#: Above 1, so that equal room isn't given to the shortest lengths first.
+WEIGHT_POWER = 1.5
 #: Pieces of one length that one task numbers, about.
 BUCKET_PIECES = 200_000
 
@@ -73,72 +84,99 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
 
 
 # -- the plan, on the driver, from the histogram alone -----------------------
-def _knapsack(lengths: np.ndarray, most: np.ndarray, value: np.ndarray, capacity: int) -> dict[int, int]:
-    """The most valuable multiset of lengths within the capacity, at most
-    ``most`` of each: bounded multiples are binary bundles, so every bundle is
-    one vector step of the dynamic program over the capacity."""
-    bundles = []
-    for L, m, v in zip(lengths.tolist(), np.minimum(most, capacity // lengths).tolist(), value.tolist()):
-        size = 1
+def _knapsack(lengths: np.ndarray, most: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, Callable[[int], dict[int, int]]]:
+    """For each of the ascending lengths, the value of the most valuable
+    multiset that has it as its longest, with at most ``most`` of each, and a
+    function that gives the multiset.  Bounded multiples are binary bundles, so
+    every bundle is one vector step of the dynamic program over the capacity; a
+    length's last bundle is the single piece that its own multisets have."""
+    sizes, values = lengths.tolist(), value.tolist()
+    bundles, single = [], []
+    for i, m in enumerate(np.minimum(most, capacity // lengths).tolist()):
+        m, size = m - 1, 1
         while m > 0:
-            k = min(size, m)
-            bundles.append((L, k, v * k))
-            m -= k
+            bundles.append((i, min(size, m)))
+            m -= size
             size *= 2
-    best = np.zeros(capacity + 1)
-    took = np.zeros((len(bundles), capacity + 1), dtype=bool)
-    for row, (L, k, v) in enumerate(bundles):
-        w = L * k
-        other = best[:capacity + 1 - w] + v
-        better = other > best[w:]
-        took[row, w:] = better
+        single.append(len(bundles))
+        bundles.append((i, 1))
+    best, top = np.zeros(capacity + 1), np.zeros(len(sizes))
+    took = np.full((len(bundles) + 1, capacity + 1), -1, dtype=np.int16 if len(bundles) < 1 << 15 else np.int32)
+    for row, (i, k) in enumerate(bundles):
+        if row == single[i]:
+            top[i] = values[i] + best[capacity - sizes[i]]
+        w = sizes[i] * k
+        took[row + 1] = took[row]  # the last bundle taken so far, by room
+        other = best[:capacity + 1 - w] + values[i] * k
+        took[row + 1, w:][other > best[w:]] = row
         np.maximum(best[w:], other, out=best[w:])
-    at, out = capacity, {}
-    for row in range(len(bundles) - 1, -1, -1):
-        if took[row, at]:
-            L, k, _ = bundles[row]
-            out[L] = out.get(L, 0) + k
-            at -= L * k
-    return out
-
-
-def solve_lp(count: dict[int, int], capacity: int, steps: int = LP_STEPS, step: float = WEIGHT_STEP) -> list[tuple[dict[int, int], float]]:
-    """Fractional configurations by multiplicative weights; ``count``: pieces
-    by length."""
-    lengths = np.array(sorted(count), dtype=np.int64)
-    if not len(lengths):
-        return []
-    need = np.array([count[L] for L in lengths.tolist()], dtype=float)
-    weight = lengths / capacity  # the duals of the volume bound to begin with
-    row = {L: i for i, L in enumerate(lengths.tolist())}
-    covered, found = np.zeros(len(lengths)), []
-    for _ in range(steps):
-        if (covered >= need).all():
-            break
-        open_ = covered < need
-        config = _knapsack(lengths[open_], np.maximum(need - covered, 1)[open_].astype(np.int64), weight[open_], capacity)
-        idx = np.array([row[L] for L in config], dtype=np.int64)
-        times = np.array([config[L] for L in config], dtype=float)
-        amount = (((need - covered)[idx]) / times).min()  # until its scarcest length is covered
-        found.append((config, amount))
-        covered[idx] += times * amount
-        # those that it served weigh less from here, the others more against them
-        weight[idx] *= np.exp(-step * times * amount / need[idx])
-        weight /= weight.max()
-    return found
-
-
-def round_and_fit(count: dict[int, int], lp: list[tuple[dict[int, int], float]], capacity: int) -> Plan:
-    """Whole copies of the LP's configurations within the counts, then best
-    fit decreasing of the rest."""
-    left, plan = dict(count), []
-    for config, amount in lp:
-        copies = min([int(amount + 1e-9), *(left[L] // k for L, k in config.items())])
-        if copies > 0:
-            plan.append((tuple(sorted(config.items(), reverse=True)), copies))
+
+    def multiset(longest: int) -> dict[int, int]:
+        out, at = {sizes[longest]: 1}, capacity - sizes[longest]
+        row = took[single[longest], at]
+        while row >= 0:
+            i, k = bundles[row]
+            out[sizes[i]] = out.get(sizes[i], 0) + k
+            at -= sizes[i] * k
+            row = took[row, at]
+        return out
+
+    return top, multiset
+
+
+def cover(count: dict[int, int], capacity: int, weight: dict[int, float], step: float = WEIGHT_STEP) -> tuple[Plan, dict[int, int], float]:
+    """(whole copies of configurations, the pieces left, the dual bound)."""
+    left, weight, found, bound = dict(count), dict(weight), [], 0.0
+    tokens = sum(L * n for L, n in count.items())
+    end = tokens * REST
+    while tokens > end:
+        open_ = np.array(sorted(left), dtype=np.int64)
+        price = np.array([weight[L] for L in open_.tolist()])
+        need = np.array([left[L] for L in open_.tolist()])
+        top, multiset = _knapsack(open_, need, price, capacity)
+        # no configuration is worth more than top.max(), so the prices over it are feasible duals
+        bound = bound or float(need @ price / top.max())
+        for i in np.flatnonzero(top >= (1 - NEAR) * top.max())[::-1].tolist():
+            config = multiset(i)
+            copies = min(left.get(L, 0) // k for L, k in config.items())  # until its scarcest length is covered
+            if not copies:
+                continue
+            found.append((tuple(sorted(config.items(), reverse=True)), copies))
             for L, k in config.items():
                 left[L] -= k * copies
-    return plan + best_fit(left, capacity)
+                tokens -= L * k * copies
+                # those that it served weigh less from here, the others more against them
+                weight[L] *= np.exp(-step * k * copies / count[L])
+                if not left[L]:
+                    del left[L]
+            if tokens <= end:
+                break
+    return found, left, bound
+
+
+def solve(count: dict[int, int], capacity: int) -> tuple[Plan, int, int]:
+    """(plan, its sequences that best fit packed, the dual bound on sequences)."""
+    start = {L: (L / capacity) ** WEIGHT_POWER for L in count}
+    weight, best, size, rest_size = start, [], 0, 0
+    bound = sum(L * n for L, n in count.items()) / capacity  # the volume's duals
+    for _ in range(COVERS if count else 0):
+        found, left, dual = cover(count, capacity, weight)
+        rest = best_fit(left, capacity)
+        bound = max(bound, dual)
+        n, fitted = sum(c for _, c in found + rest), sum(c for _, c in rest)
+        if not best or n < size:
+            best, size, rest_size = found + rest, n, fitted
+        least = math.ceil(bound - 1e-6)
+        if size <= least * (1 + GAP):
+            break
+        # a piece's share in its configurations' unused room raises its weight
+        cost = dict.fromkeys(count, 0.0)
+        for content, copies in found + rest:
+            loose = capacity / sum(L * k for L, k in content)
+            for L, k in content:
+                cost[L] += k * copies * loose
+        weight = {L: math.sqrt(weight[L] * start[L] * cost[L] / count[L]) for L in count}
+    return best, rest_size, math.ceil(bound - 1e-6)
 
 
 def best_fit(count: dict[int, int], capacity: int) -> Plan:
@@ -178,15 +216,11 @@ def best_fit(count: dict[int, int], capacity: int) -> Plan:
     return [g for room in rooms for g in groups[room]]
 
 
-def make_plan(count: dict[int, int], capacity: int = CAPACITY, steps: int = LP_STEPS) -> Plan:
+def make_plan(count: dict[int, int], capacity: int = CAPACITY) -> Plan:
     """The plan for a histogram; full pieces are sequences of their own."""
     full = count.get(capacity, 0)
     rest = {L: n for L, n in count.items() if L < capacity and n > 0}
-    plan: Plan = [(((capacity, 1),), full)] if full else []
-    packed = round_and_fit(rest, solve_lp(rest, capacity, steps), capacity)
-    plain = best_fit(rest, capacity)
-    # rounding is a heuristic: keep the fewer sequences
-    return plan + min(packed, plain, key=lambda p: sum(c for _, c in p))
+    return ([(((capacity, 1),), full)] if full else []) + solve(rest, capacity)[0]
 
 
 def plan_table(plan: Plan) -> dict[str, np.ndarray]:
@@ -220,11 +254,11 @@ def numbered(piece_rows: DataFrame, n_rows: int, order: list[str]) -> DataFrame:
             .withColumn("rank", F.col("begin") + F.col("rn")).drop("bucket", "begin", "rn"))
 
 
-def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, steps: int = LP_STEPS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, piece, start, length, ids_crc32, sequence_id, offset)."""
     rows = handoff(pieces(docs, path, capacity, end_id, key, text), "pieces")
     histogram = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    table = plan_table(make_plan(histogram, capacity, steps))
+    table = plan_table(make_plan(histogram, capacity))
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(table)  # its size follows the capacity alone
     out = numbered(rows, sum(histogram.values()), [key, "piece"])

@@ -75,6 +75,18 @@ def test_plan_packs_everything_once(seed):
     assert packing.make_plan({}) == []
 
 
+@pytest.mark.parametrize("low, high, pieces", [(1, 4095, 2000), (800, 2500, 6000), (1, 300, 2000)])
+def test_the_cover_leaves_best_fit_the_remainder_alone(low, high, pieces):
+    rnd = random.Random(3)
+    count = dict(Counter(rnd.randint(low, high) for _ in range(pieces)))
+    found, left, bound = packing.cover(count, 4096, {L: (L / 4096) ** packing.WEIGHT_POWER for L in count})
+    tokens = sum(L * n for L, n in count.items())
+    assert sum(L * n for L, n in left.items()) <= tokens / 128
+    plan, fitted, least = packing.solve(count, 4096)
+    n, plain = sum(c for _, c in plan), sum(c for _, c in packing.best_fit(count, 4096))
+    assert max(bound - 1e-6, tokens / 4096) <= least <= n <= 1.005 * plain and fitted <= 0.02 * n + 1
+
+
 def check_packed(rows, texts):
     """rows: of pack; texts: (doc_id, text) of the input."""
     by_doc = {}
