@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, hashing, html_crf, jaccard, packing, pii, quantised, suffixes, toxicity, warc
+from quarry.llm import bpe, hashing, html_crf, jaccard, packing, pii, quality, quantised, spelling, suffixes, toxicity, trie, warc
 from quarry.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,24 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return spelling.variants(spelling.words(docs, least_length=5, least_count=3, garble_every=97), factor=2)
+
+
+@query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = quality.fit(docs, labels.where(~held_out))
+    return quality.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(*trie.rebuilt(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])))
