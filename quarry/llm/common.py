@@ -111,6 +111,28 @@ class RollingBytes:
         return mix64(out)
 
 
+class Roots:
+    """Roots of the linked rows of a task's table."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        root = self.root
+        while True:
+            x, y = root[a], root[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+            while True:
+                up = root[root]
+                if (up == root).all():
+                    break
+                root[:] = up
+
+
 def sum_vectors(spark: SparkSession, parts: DataFrame, n_slices: int, width: int) -> np.ndarray:
     """Sum rows (slice int, values binary of int64) into one vector of
     n_slices * width: bounded by its width, not by the corpus."""

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import handoff
-from quarry.llm.vectors import matrix, norms, packed_vectors
+from quarry.llm.vectors import matrix, norms, packed_vectors, scaled
 
 BITS = 256
 PART_BITS = 16
@@ -66,6 +66,7 @@ def fit_rotations(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, se
 
 def encode(v: np.ndarray, rotations: np.ndarray) -> np.ndarray:
     """Codes as rows of 16-bit substrings."""
+    v = scaled(v)
     bits = np.packbits((v / norms(v)[:, None]) @ rotations >= 0, axis=1)
     return np.ascontiguousarray(bits).view("<u2")
 
@@ -87,6 +88,8 @@ def nearest(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def fit_radius(sample: np.ndarray, rotations: np.ndarray, k: int, quantile: float = RADIUS_QUANTILE) -> int:
+    if len(sample) < 2:
+        return 0
     codes, length = encode(sample, rotations), norms(sample)
     seen = []
     for i in range(min(SAMPLE_QUERIES, len(sample))):
@@ -138,10 +141,10 @@ def _search(k: int, radius: int):
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query_id": [], "query": [], "vec_id": [], "score": []}
         if index.num_rows and queries.num_rows:
-            v, ids = matrix(index.column("v")), index.column("vec_id").to_numpy()
+            v, ids = scaled(matrix(index.column("v"))), index.column("vec_id").to_numpy()
             codes = np.frombuffer(b"".join(index.column("code").to_pylist()), dtype="<u2").reshape(len(v), -1)
             length, table = norms(v), MultiIndex(codes)
-            qv = matrix(queries.column("v"))
+            qv = scaled(matrix(queries.column("v")))
             q_codes = np.frombuffer(b"".join(queries.column("code").to_pylist()), dtype="<u2").reshape(len(qv), -1)
             for i, (q, name, n) in enumerate(zip(queries.column("vec_id").to_pylist(), queries.column("name").to_pylist(), norms(qv).tolist())):
                 r, others = radius, int((ids != q).sum())
@@ -177,7 +180,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id",
 
 
 def _search_size(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    sample = matrix(pa.chunked_array([pa.array([bytes(r["v"]) for r in index.orderBy(F.xxhash64("vec_id"), "vec_id").select("v").limit(SAMPLE_ROWS).collect()], pa.binary())]))
+    sample = scaled(matrix(pa.chunked_array([pa.array([bytes(r["v"]) for r in index.orderBy(F.xxhash64("vec_id"), "vec_id").select("v").limit(SAMPLE_ROWS).collect()], pa.binary())])))
     rotations = fit_rotations(sample)
     radius = fit_radius(sample, rotations, k)
 

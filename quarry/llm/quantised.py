@@ -30,8 +30,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import connected_components, handoff
-from quarry.llm.vectors import matrix, norms, packed_vectors
+from quarry.llm.common import Roots, connected_components, handoff
+from quarry.llm.vectors import matrix, norms, packed_vectors, scaled
 
 THRESHOLD = 0.9
 TILE_ROWS = 8192
@@ -57,37 +57,15 @@ def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for d in np.unique(size).tolist():
             at = pa.array(np.flatnonzero(size == d))
             part = b.take(at)
-            q, scale, coded, error = quantise(matrix(part.column(2)))
+            q, scale, coded, error = quantise(scaled(matrix(part.column(2))))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2), pa.array([x.tobytes() for x in q], pa.binary()), pa.array(scale), pa.array(coded), pa.array(error)],
                 names=["rep", "weight", "v", "q", "scale", "coded", "error"])
 
 
-class _Roots:
-    """Roots of the linked rows of a tile."""
-
-    def __init__(self, n: int):
-        self.root = np.arange(n)
-
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        root = self.root
-        while True:
-            x, y = root[a], root[b]
-            apart = x != y
-            if not apart.any():
-                return
-            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
-            while True:
-                up = root[root]
-                if (up == root).all():
-                    break
-                root[:] = up
-
-
 def _tile(threshold: float):
     def side(rows: pa.Table) -> dict[str, np.ndarray]:
-        v = matrix(rows.column("v"))
+        v = scaled(matrix(rows.column("v")))
         dtype = np.float32 if v.shape[1] * 127 * 127 < 2**24 else np.float64  # whole numbers that it holds exactly
         q = np.frombuffer(b"".join(rows.column("q").to_pylist()), dtype=np.int8).reshape(v.shape).astype(dtype)
         return {"v": v, "q": q, "norm": norms(v)} | {c: rows.column(c).to_numpy() for c in ("weight", "scale", "coded", "error")}
@@ -100,7 +78,7 @@ def _tile(threshold: float):
         right_rows = left_rows if one else table.filter(pa.array(home == j))
         rep = np.concatenate([left_rows.column("rep").to_numpy(), [] if one else right_rows.column("rep").to_numpy()]).astype(np.int64)
         n, m = left_rows.num_rows, right_rows.num_rows
-        links, roots, shift = np.zeros(len(rep), dtype=np.int64), _Roots(len(rep)), 0 if one else n
+        links, roots, shift = np.zeros(len(rep), dtype=np.int64), Roots(len(rep)), 0 if one else n
         if n and m:
             a = side(left_rows)
             b = a if one else side(right_rows)

@@ -39,6 +39,12 @@ def matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(data), dtype="<f8").reshape(len(data), -1) if data else np.zeros((0, 0))
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component below
+    one: products stay in the range of doubles, and cosines are the same."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(1, initial=0))[1][:, None])
+
+
 def norms(v: np.ndarray) -> np.ndarray:
     """Lengths, also where the squares leave the range of doubles."""
     top = np.abs(v).max(1, initial=0)

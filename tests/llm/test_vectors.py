@@ -118,3 +118,22 @@ def test_hashing_odd_vectors(spark):
     assert all(len(x) == 5 for x in by.values())
     assert hashing.search(rows.limit(0), rows, 5).count() == 0
     assert hashing.search(rows, rows.limit(0), 5).count() == 0
+
+
+def test_hashing_single_vectors(spark):
+    """A size with one row, and a table of one vector, give no neighbours and no crash."""
+    one = spark.createDataFrame([(50, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    assert hashing.search(one, one, 5).collect() == []
+    two = one.union(spark.createDataFrame([(100, [1.0, 2.0, 3.0]), (101, [1.0, 2.0, 2.0])], one.schema))
+    assert [tuple(r)[:3] for r in hashing.search(two, two.where("vec_id % 50 = 0"), 5).collect()] == [(100, 1, 101)]
+
+
+@pytest.mark.parametrize("factor", [1e200, 1e-200, 1e308, 1e-308])
+def test_extreme_lengths(spark, factor):
+    """Cosines neither overflow nor vanish."""
+    plain = [(0, [0.9, 0.0]), (1, [0.9, 0.05]), (2, [0.0, 0.9]), (3, [0.9, 0.04])]
+    rows = spark.createDataFrame([(i, [x * factor for x in v] if i % 2 else v) for i, v in plain], "vec_id long, embedding array<double>")
+    got = {(r["vec_id"], r["n_links"], r["component_id"]) for r in quantised.near_duplicates(rows).collect()}
+    assert got == {(0, 2, 0), (1, 2, 0), (3, 2, 0), (2, 0, 2)}
+    near = [(r["vec_id"], r["score"]) for r in hashing.search(rows, rows.where("vec_id = 0"), 3).orderBy("rank").collect()]
+    assert [i for i, _ in near] == [3, 1, 2] and np.allclose([s for _, s in near], [0.9 / np.hypot(0.9, 0.04), 0.9 / np.hypot(0.9, 0.05), 0], atol=1e-12)
