@@ -38,8 +38,8 @@ CACHED_PATHS = 50_000
 
 # Fixed values of HTML: which elements make blocks, hold no text, or close others.
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption
-figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html ins label legend li main menu nav noscript ol optgroup option p pre search
-section select small summary table tbody td template tfoot th thead tr ul""".split()) - {"small", "ins"}
+figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav noscript ol optgroup option p pre search
+section select summary table tbody td template tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
 ENDS_P = frozenset("""address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4
@@ -51,7 +51,8 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
         "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}), "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"})}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z|[^<]+|<""", re.S)
+# possessive throughout: a tag that never ends is read once
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|</?[a-zA-Z][^>]*+\Z|[^<]++|<""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -66,9 +67,11 @@ class Block:
 
 
 class Parser:
-    """Pages to blocks; paths are numbered once for a worker."""
+    """Pages to blocks; paths are numbered once for a worker.  Labels are read
+    from training pages only."""
 
-    def __init__(self) -> None:
+    def __init__(self, labelled: bool = False) -> None:
+        self.labelled = labelled
         self.paths: dict[tuple, int] = {}
         self.features: list[tuple[str, ...]] = []
         self.root = self._path(-1, "", ())
@@ -159,8 +162,7 @@ class Parser:
         flush()
         return out
 
-    @staticmethod
-    def _words(attributes: str, label: int) -> tuple[tuple[str, ...], int]:
+    def _words(self, attributes: str, label: int) -> tuple[tuple[str, ...], int]:
         words: list[str] = []
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'")
@@ -170,7 +172,7 @@ class Parser:
                 words.append(f"role={value.strip().lower()}")
             elif name in ("hidden",) or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
                 words.append("hidden=")
-            elif name == "data-y":
+            elif self.labelled and name == "data-y":
                 label = int(value)
         return tuple(sorted(set(words))), label
 
@@ -219,7 +221,7 @@ def _same(blocks: list[Block]) -> list[bool]:
 
 def fit(pages: list[str], steps: int = STEPS, rate: float = RATE, penalty: float = PENALTY) -> Model:
     """Train on pages whose elements carry ``data-y`` labels."""
-    parser, index = Parser(), {}
+    parser, index = Parser(labelled=True), {}
     chains = [c for c in (parser.blocks(p) for p in pages) if c]
     n, width = len(chains), max(map(len, chains))
     ids, starts, gold, mask, shared = [], [], np.zeros((n, width), dtype=np.int64), np.zeros((n, width), dtype=bool), np.zeros((n, width), dtype=np.int64)

@@ -11,8 +11,9 @@ IPv4 addresses, calendar dates of 1900 to 2099 in several notations, local
 parts of e-mail addresses, cloud access keys and hexadecimal secrets behind a
 name.  Where candidates overlap the earlier kind of this list wins.  Where a
 number or word behind a card or bank account spoils its check, the shorter ends
-are tried at group and word boundaries.  Digits that
-validate as nothing stay as they are.
+are tried at group and word boundaries, then the later beginnings; restoring may miss a value behind such a
+group, where the pseudonym and the group together pass a check by chance.
+Digits that validate as nothing stay as they are.
 
 Every row is read on its own: no shuffle, nothing collected.  Defined cases:
 null text stays null with no values; an empty text is empty; repeated rows give
@@ -25,16 +26,18 @@ import datetime
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, MapType, StringType, StructType
 
-#: For tests and samples; pass a secret key in production.
+#: For tests and samples; set a secret key in production (KEY_SETTING).
 SAMPLE_KEY = b"quarry-sample-key"
+KEY_SETTING = "spark.quarry.pii.key"
 ROUNDS = 8
 CACHE_VALUES = 200_000
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
@@ -91,7 +94,7 @@ Permute = Callable[[int, int, str], int]
 
 def _card(m: re.Match, p: Permute) -> str | None:
     digits = re.sub(r"\D", "", m[0])
-    if len(set(digits)) < 2 or digits[0] == "0" or luhn_digit(digits[:-1]) != digits[-1]:
+    if len(set(digits)) < 2 or luhn_digit(digits[:-1]) != digits[-1]:
         return None
     n, x = len(digits) - 2, int(digits[1:-1])
     while True:  # stay among the cards that a longer number around them takes alike
@@ -130,20 +133,26 @@ def _ends(kind: str, m: re.Match) -> list[int]:
     return [*(e for e in ends if len(m[0][:e - m.start()].replace(" ", "")) == length), m.end()]
 
 
+def _next(kind: str, m: re.Match) -> int:
+    """Where to search on if the match holds no value that begins where it
+    does: one may begin at the next group of a card's or IBAN's characters."""
+    if kind not in ("card", "iban"):
+        return m.end()
+    return next((i + 1 for i in range(m.start() + 1, m.end()) if m.string[i] == " "), m.end())
+
+
 def _phone(m: re.Match, p: Permute) -> str | None:
     """Assigned codes and those that begin with 0 or 1 are permuted each among
-    themselves; the latter are a phone only behind the country code."""
+    themselves."""
     area, exchange, line = int(m["area"] or m["area2"]), int(m["exchange"]), int(m["line"])
     at = m.start("area" if m["area"] else "area2") - m.start()
     if area >= 200 and exchange >= 200:
         head, line = divmod(p(((area - 200) * 800 + exchange - 200) * 10_000 + line, 800 * 800 * 10_000, "phone"), 10_000)
         area, exchange = head // 800 + 200, head % 800 + 200
-    elif m["country"]:
+    else:
         head = area * 1000 + exchange if area < 200 else 200_000 + (area - 200) * 200 + exchange
         head, line = divmod(p(head * 10_000 + line, 360_000 * 10_000, "phone01"), 10_000)
         area, exchange = divmod(head, 1000) if head < 200_000 else ((head - 200_000) // 200 + 200, head % 200)
-    else:
-        return None
     return m[0][:at] + _refill(m[0][at:], f"{area:03d}{exchange:03d}{line:04d}")
 
 
@@ -287,27 +296,28 @@ class Pseudonyms:
         """The text with pseudonyms and the number of values by kind."""
         if not _LIKELY.search(text):
             return text, {}
-        spans: list[tuple[int, int, str, str]] = []
+        spans: list[tuple[int, int, str, str]] = []  # sorted, apart from one another
+        begins: list[int] = []
         for kind, pattern, make in KINDS:
             at = 0
             while m := pattern.search(text, at):
-                start, at = m.start(), m.end()
-                inside = next((e for a, e, _, _ in spans if a <= start < e), None)
-                if inside is not None:  # an earlier kind's value: go on behind it
-                    at = inside
+                start, at = m.start(), _next(kind, m)
+                k = bisect_right(begins, start) - 1
+                if k >= 0 and spans[k][1] > start:  # an earlier kind's value: go on behind it
+                    at = spans[k][1]
                     continue
                 for end in _ends(kind, m):
-                    if any(a < end and start < e for a, e, _, _ in spans):
+                    if k + 1 < len(spans) and begins[k + 1] < end:
                         continue
                     part = m if end == m.end() else pattern.match(text, start, end)
                     new = part and make(part, self.permute)
                     if new is not None:
-                        spans.append((start, end, new, kind))
+                        spans.insert(k + 1, (start, end, new, kind))
+                        begins.insert(k + 1, start)
                         at = end
                         break
         if not spans:
             return text, {}
-        spans.sort()
         out, at, count = [], 0, {}
         for a, e, new, kind in spans:
             out += [text[at:a], new]
@@ -316,9 +326,16 @@ class Pseudonyms:
         return "".join([*out, text[at:]]), count
 
 
-def pseudonymise(docs: DataFrame, key: bytes = SAMPLE_KEY, text: str = "text", back: bool = False) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The secret key that the session names in KEY_SETTING, else the sample one."""
+    return spark.conf.get(KEY_SETTING, SAMPLE_KEY.decode()).encode()
+
+
+def pseudonymise(docs: DataFrame, key: bytes | None = None, text: str = "text", back: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in the text and two columns more: ``n_values``
-    and ``kinds`` (map of kind to number).  ``back`` restores the values."""
+    and ``kinds`` (map of kind to number).  ``back`` restores the values;
+    without ``key`` the session's is used."""
+    key = key or session_key(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("n_values", "kinds")]
     at = names.index(text)
     schema = StructType([docs.schema[c] for c in names]).add("n_values", "long").add("kinds", MapType(StringType(), IntegerType()))
