@@ -48,7 +48,7 @@ from quarry.llm.common import discard, handoff
 #: Levels of a band; the bands of the next tree have BAND times as many.
 BAND = 512
 #: Conversations that make a node heavy, at least.
-HEAVY = 4096
+HEAVY = 256
 #: Rows of a partition or shard, about.
 SHARD_ROWS = 200_000
 #: Messages that a queue holds in memory.
