@@ -177,3 +177,9 @@ oracle("dashboard_percentages", SL + "SELECT 'track_bar' AS bar, recommended_tra
        f"{rnd('count(*) / (SELECT count(*) FROM sl) * 100.0', 1)} AS width FROM sl GROUP BY 2 "
        f"UNION ALL SELECT 'interest_bar', interest, {rnd('count(*) / (SELECT count(*) FROM sl) * 100.0', 1)} FROM sl GROUP BY 2 "
        f"UNION ALL SELECT 'gpa_bar', recommended_track, {rnd(rnd('avg(gpa)', 2) + ' / 4.0 * 100.0', 1)} FROM sl GROUP BY 2")
+
+oracle("distinct_sketches", "SELECT grp, count(DISTINCT id) AS n_distinct, true AS within FROM ("
+       "SELECT o_orderpriority AS grp, o_custkey AS id FROM orders UNION ALL SELECT 'all orders', o_custkey FROM orders "
+       "UNION ALL SELECT 'all', o_custkey FROM orders UNION ALL SELECT 'all', c_custkey FROM customer "
+       "UNION ALL SELECT 'customers', c_custkey FROM customer) t GROUP BY grp")
+oracle("numbered_scan", SR + "SELECT row_order, coalesce(student_id, '') AS student_id, row_number() OVER (ORDER BY row_order) - 1 AS position FROM sr")

@@ -68,3 +68,8 @@ SEL = (f"SELECT student_id, rule_rank, array_to_string(ante, '|') AS antecedents
        f"array_to_string(cons, '|') AS consequents, {DISPLAY} FROM matched")
 oracle("match_rules", MATCH + SEL)
 oracle("top_rules_per_profile", MATCH + SEL + f" WHERE pos <= {C.RULES_PER_PROFILE}")
+
+BANDS = [f"{b}_{C.ITEM_LABELS[g]}" for g in GRADES for b in ("Excellent", "Good", "Failed", "Weak")]
+NAMES = [("Interest_", x) for x in sorted({*C.VALID_INTERESTS, "Undecided"})] + [("Track_", t["track"]) for t in C.TRACKS]
+ITEMS = sorted([*BANDS, *(p + "".join(c if c.isalnum() else "_" for c in x) for p, x in NAMES), "Has_Failed_Course", "No_Failed_Courses"])
+oracle("basket_matrix", with_ctes("bk") + "SELECT student_id, " + ", ".join(f"list_contains(items, '{v}') AS \"{v}\"" for v in ITEMS) + " FROM bk")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,6 +64,13 @@ def transaction_items() -> Column:
                    track_item("recommended_track"))
 
 
+def basket_items() -> list[str]:
+    """Every item that a training basket can hold, sorted."""
+    token = lambda s: re.sub(r"\W", "_", s)
+    bands = [f"{b}_{C.ITEM_LABELS[g]}" for g in C.GRADE_COLS for b in ("Excellent", "Good", "Failed", "Weak")]
+    return sorted([*bands, *(f"Interest_{token(i)}" for i in {*C.VALID_INTERESTS, "Undecided"}), *(f"Track_{token(t)}" for t in C.TRACK_NAMES), "Has_Failed_Course", "No_Failed_Courses"])
+
+
 def courses_where(pred, grade_cols: list[str] | None = None, first_n: int | None = None) -> Column:
     """Labels of the grade columns meeting ``pred``, in the given column order,
     optionally only the first ``n``."""

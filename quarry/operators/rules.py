@@ -5,13 +5,9 @@
   ``count / n >= min_support`` exactly: the smallest qualifying count is
   derived from ``n`` and handed to FP-growth as an unambiguous fraction.
 * Rules: FP-growth's own rule generator only emits single-item consequents,
-  while the original emits every antecedent/consequent split.  Each itemset
-  is split by bit masks (``sequence`` + ``filter`` with index, all JVM-side);
-  the supports of both sides are joined back from the itemset table.
-  Size bound: each basket of L items holds C(L,k) k-subsets, so at most
-  ``2^L / min_support`` itemsets can be frequent (58.5k for L=11, 3.5 %),
-  independent of the number of baskets -- that bound is what allows the
-  itemset table to be broadcast into the split joins.
+  while the original emits every antecedent/consequent split.  Consequents are
+  grown level by level from those that reach the confidence; the supports of
+  both sides are joined back from the itemset table.
 * Matching rules to profiles is an equi-join on single items (profile items
   exploded x rule antecedent items, broadcast of the <= top-k rules), then a
   count per (profile, rule) compared with the antecedent size -- no theta or
@@ -21,12 +17,15 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import round_half_even
+from quarry.session import hand_off
 
 
 def item_key(c: Column | str) -> Column:
@@ -39,6 +38,44 @@ def basket_long(baskets: DataFrame, id_col: str = "student_id", items_col: str =
     return baskets.select(id_col, F.explode(items_col).alias("item"))
 
 
+#: Items up to which a basket table is made wide.
+WIDE_ITEMS = 2000
+
+
+def vocabulary(long: DataFrame, item_col: str = "item") -> list[str]:
+    """The distinct items of a long basket table, sorted: frozen once, so that
+    tables encoded apart have the same columns."""
+    return [r[0] for r in long.select(item_col).where(F.col(item_col).isNotNull()).distinct().orderBy(item_col).collect()]
+
+
+def basket_matrix(baskets: DataFrame, items: list[str], id_col: str = "student_id", items_col: str = "items") -> DataFrame:
+    """A boolean column for each item of the vocabulary, a map without a
+    shuffle; items outside it are ignored, a null basket holds nothing."""
+    if len(items) > WIDE_ITEMS:
+        raise ValueError(f"{len(items)} items are too many for columns; use basket_vectors")
+    return baskets.select(id_col, *[F.coalesce(F.array_contains(items_col, v), F.lit(False)).alias(v) for v in items])
+
+
+def matrix_baskets(matrix: DataFrame, items: list[str], id_col: str = "student_id") -> DataFrame:
+    """The long form of a basket matrix: its inverse."""
+    held = F.array_compact(F.array(*[F.when(F.col(f"`{v}`"), F.lit(v)) for v in items]))
+    return matrix.select(id_col, F.explode(held).alias("item"))
+
+
+def basket_vectors(baskets: DataFrame, items: list[str], id_col: str = "student_id", items_col: str = "items") -> DataFrame:
+    """The matrix for vocabularies of any size: a sparse vector of zeros and
+    ones for each basket."""
+    model = CountVectorizerModel.from_vocabulary(items, inputCol="_items", outputCol="vector", minTF=1.0).setBinary(True)
+    return model.transform(baskets.select(id_col, F.coalesce(items_col, F.array().cast("array<string>")).alias("_items"))).select(id_col, "vector")
+
+
+def vector_baskets(vectors: DataFrame, items: list[str], id_col: str = "student_id") -> DataFrame:
+    """The long form of basket vectors: their inverse.  The vocabulary travels as a table."""
+    places = vectors.sparkSession.createDataFrame(list(enumerate(items)), "_place int, item string")
+    held = vectors.select(id_col, F.explode(F.unwrap_udt("vector")["indices"]).alias("_place"))
+    return held.join(places, "_place").select(id_col, "item")
+
+
 def min_count_for(n: int, min_support: float) -> int:
     """Smallest count c with ``c / n >= min_support`` (float semantics)."""
     c = max(1, math.floor(min_support * n) - 1)
@@ -71,34 +108,40 @@ def association_rules(itemsets: DataFrame, n_baskets: Column | int, min_confiden
                       itemset_filter: Column | None = None) -> DataFrame:
     """Every rule A -> C with A, C non-empty, A u C a frequent itemset and
     confidence >= ``min_confidence``.  support = s(AC), confidence =
-    s(AC)/s(A), lift = confidence / s(C), with s(X) = count(X) / n."""
+    s(AC)/s(A), lift = confidence / s(C), with s(X) = count(X) / n.
+
+    Consequents grow by one item a round: a larger consequent leaves a smaller,
+    more frequent antecedent and so has no larger confidence, hence only
+    consequents all of whose parts one item shorter pass are tried.  Work
+    follows the rules found, not the 2**L splits of an itemset."""
     n = F.lit(float(n_baskets)) if isinstance(n_baskets, int) else n_baskets.cast("double")
     base = itemsets.filter(F.col("length") >= 2)
     if itemset_filter is not None:
         base = base.filter(itemset_filter)
-    masks = base.select("items", "freq", F.explode(
-        F.sequence(F.lit(1).cast("long"), F.pow(F.lit(2), F.col("length")).cast("long") - 2)).alias("mask"))
-    split = masks.select(
-        "freq",
-        F.filter("items", lambda x, i: _bit(i) != 0).alias("antecedents"),
-        F.filter("items", lambda x, i: _bit(i) == 0).alias("consequents"))
-    support = itemsets.select(item_key("items").alias("k"), F.col("freq").alias("f"))
-    a = support.select(F.col("k").alias("a_key"), F.col("f").alias("freq_a"))
-    c = support.select(F.col("k").alias("c_key"), F.col("f").alias("freq_c"))
-    joined = (split.withColumn("a_key", item_key("antecedents")).withColumn("c_key", item_key("consequents"))
-              .join(a, "a_key").join(c, "c_key"))
-    s_ac = F.col("freq") / n
-    s_a = F.col("freq_a") / n
-    s_c = F.col("freq_c") / n
+    support = itemsets.select(item_key("items").alias("_key"), F.col("freq").alias("_freq"))
+    s_ac, s_a = F.col("freq") / n, F.col("freq_a") / n
+
+    def passing(candidates: DataFrame) -> DataFrame:
+        """Candidates (items, freq, consequents) that reach the confidence."""
+        split = candidates.withColumn("antecedents", F.array_except("items", "consequents")).withColumn("_key", item_key("antecedents"))
+        known = split.join(support, "_key").withColumnRenamed("_freq", "freq_a").drop("_key")
+        return hand_off(known.filter(s_ac / s_a >= min_confidence), "rules-level")
+
+    rounds = [passing(base.select("items", "freq", F.explode("items").alias("c")).select("items", "freq", F.array("c").alias("consequents")))]
+    size = 1
+    while not rounds[-1].isEmpty():
+        size += 1
+        last = rounds[-1].select("items", "freq", "consequents", F.slice("consequents", 1, size - 2).alias("_head"), F.element_at("consequents", -1).alias("_tail"))
+        # two consequents of one itemset that differ in their last item make the next
+        left = last.filter(F.size("items") > size).select("items", "freq", "consequents", "_head", F.array_position("items", F.col("_tail")).alias("_at"))
+        right = last.select("items", "_head", F.col("_tail"), F.array_position("items", F.col("_tail")).alias("_next"))
+        grown = left.join(right, ["items", "_head"]).filter(F.col("_at") < F.col("_next")).select("items", "freq", F.concat("consequents", F.array("_tail")).alias("consequents"))
+        rounds.append(passing(grown))
+    found = reduce(DataFrame.unionByName, rounds)
+    joined = found.withColumn("_key", item_key("consequents")).join(support.withColumnRenamed("_freq", "freq_c"), "_key")
     conf = s_ac / s_a
-    rules = joined.select("antecedents", "consequents", s_ac.alias("support"), conf.alias("confidence"),
-                          (conf / s_c).alias("lift"))
-    return rules.filter(F.col("confidence") >= min_confidence)
-
-
-def _bit(i: Column) -> Column:
-    """Bit ``i`` of the split mask."""
-    return F.col("mask").bitwiseAND(F.pow(F.lit(2), i).cast("long"))
+    return joined.select("antecedents", "consequents", s_ac.alias("support"), conf.alias("confidence"),
+                         (conf / (F.col("freq_c") / n)).alias("lift"))
 
 
 def has_prefix(c: str, prefix: str) -> Column:

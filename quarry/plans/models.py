@@ -20,7 +20,8 @@ from quarry import config as C
 from quarry.functions.numeric import round_half_even
 from quarry.operators import evaluate as EV
 from quarry.operators import features as FT
-from quarry.operators.knn import knn_topk, predict_from_votes, vote
+from quarry.operators.knn import predict_from_votes, vote
+from quarry.operators.metric import nearest
 
 TREES = ("decision_tree", "random_forest")
 MODELS = (*TREES, "knn")
@@ -43,7 +44,7 @@ def space_of(df: DataFrame, fit: DataFrame) -> DataFrame:
 
 def knn_votes(queries: DataFrame, history: DataFrame) -> DataFrame:
     """Distance-weighted votes; queries (qid, vec), history (hid, vec, label)."""
-    return vote(knn_topk(queries, history, C.KNN_K), history.select("hid", "label"))
+    return vote(nearest(queries, history, C.KNN_K), history.select("hid", "label"))
 
 
 # -- trees ----------------------------------------------------------------------
@@ -139,7 +140,7 @@ def cross_validate_knn(folds: DataFrame) -> DataFrame:
     q = space.filter(F.col("fold") == F.col("part")).withColumnRenamed("id", "qid")
     h = space.filter(F.col("fold") != F.col("part")).withColumnRenamed("id", "hid")
     facts = folds.select(F.col("row_order").alias("hid"), F.col(C.TARGET).alias("label"))
-    votes = vote(knn_topk(q, h, C.KNN_K, part="part"), facts)
+    votes = vote(nearest(q, h, C.KNN_K, part="part"), facts)
     right = predict_from_votes(votes).join(folds.select(F.col("row_order").alias("qid"), "fold", C.TARGET), "qid")
     per = right.groupBy("fold").agg(F.avg((F.col("predicted") == F.col(C.TARGET)).cast("double")).alias("acc"))
     whole = per.agg(F.struct(round_half_even(F.avg("acc") * 100.0, 2).alias("mean"), round_half_even(F.stddev_pop("acc") * 100.0, 2).alias("std"))).scalar()

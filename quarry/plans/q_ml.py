@@ -10,7 +10,9 @@ from quarry.functions.numeric import round_half_even
 from quarry.functions.text import safe_text
 from quarry.operators import evaluate as EV
 from quarry.operators import features as FT
-from quarry.operators.knn import knn_topk, predict_from_votes, vote
+from quarry.operators.knn import predict_from_votes, vote
+from quarry.operators.lsh import approx_nearest, recall
+from quarry.operators.metric import Search, nearest
 from quarry.plans import models as M
 from quarry.plans.catalog import register
 from quarry.plans.derived import materialize, sl, store_path
@@ -43,7 +45,7 @@ def knn_test_predictions(spark, sf, fresh: bool = False) -> DataFrame:
         space = train_space(spark, sf)
         q = space.filter(F.col("is_test")).select(F.col("row_order").alias("qid"), "vec")
         h = space.filter(~F.col("is_test")).select(F.col("row_order").alias("hid"), "vec")
-        nn = knn_topk(q, h, C.KNN_K)
+        nn = nearest(q, h, C.KNN_K)
         votes = vote(nn, data.select(F.col("row_order").alias("hid"), F.col(C.TARGET).alias("label")))
         pred = predict_from_votes(votes)
         facts = data.filter(F.col("is_test")).select(F.col("row_order").alias("qid"), "student_id",
@@ -127,7 +129,7 @@ def q_model_summary(spark, sf):
 def q_knn_similar(spark, sf):
     data = split_students(spark, sf)
     v = train_space(spark, sf).select(F.col("row_order").alias("id"), "vec")
-    nn = knn_topk(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), C.SIMILAR_STUDENTS)
+    nn = nearest(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), C.SIMILAR_STUDENTS)
     d4 = F.max("dist").over(Window.partitionBy("qid"))
     sim = round_half_even(F.greatest(F.lit(0.0), 100.0 - F.col("dist") / F.greatest(d4, F.lit(0.001)) * 25.0), 1)
     nn = nn.withColumn("similarity", sim)
@@ -140,12 +142,35 @@ def q_knn_similar(spark, sf):
                     F.round("dist", 6).alias("distance"), "similarity"))
 
 
+def _embeddings(spark, sf) -> DataFrame:
+    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
+    return emb.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+
+
+@register("knn_visits")
+def q_knn_visits(spark, sf):
+    """What the metric index reads for the five nearest embeddings of each
+    embedding: rows measured against all pairs of queries and rows."""
+    v = _embeddings(spark, sf)
+    search = Search(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), 5)
+    seen = search.visits().agg(F.count("*").alias("n_queries"), F.sum("cells").alias("cells_visited"), F.sum("measured").alias("rows_measured"))
+    return seen.select("n_queries", F.lit(search.rows).cast("long").alias("n_rows"), F.lit(len(search.index.pivots)).cast("long").alias("n_cells"),
+                       "cells_visited", "rows_measured", (F.col("rows_measured") / F.col("n_queries") / F.lit(max(1, search.rows))).alias("share_measured"))
+
+
+@register("approx_euclidean")
+def q_approx(spark, sf):
+    """Recall of the approximate search for five nearest embeddings."""
+    v = _embeddings(spark, sf)
+    q, h = v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid")
+    return recall(approx_nearest(q, h, 5), nearest(q, h, 5)).select("neighbours", "found", F.round("recall", 6).alias("recall"))
+
+
 @register("pairwise_euclidean")
 def q_pairwise(spark, sf):
     """Five nearest embeddings of every embedding (exact, whole table)."""
-    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
-    v = emb.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
-    nn = knn_topk(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), 5)
+    v = _embeddings(spark, sf)
+    nn = nearest(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), 5)
     return nn.select(F.col("qid").alias("vec_id"), F.col("hid").alias("neighbour_id"), "rank",
                      F.round("dist", 6).alias("distance"))
 
@@ -155,7 +180,7 @@ def q_knn_embeddings(spark, sf):
     """Leave-one-out 9-NN label vote over the embeddings table."""
     emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
     v = emb.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
-    nn = knn_topk(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), C.KNN_K + 1)
+    nn = nearest(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), C.KNN_K + 1)
     nn = nn.filter(F.col("qid") != F.col("hid"))
     nn = nn.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "hid"))) \
            .filter(F.col("rank") <= C.KNN_K)

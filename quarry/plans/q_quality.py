@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from operator import add
 
@@ -11,12 +12,15 @@ from pyspark.sql import functions as F
 from quarry import config as C
 from quarry.functions import numeric as N
 from quarry.functions import text as T
-from quarry.operators.impute import column_medians
 from quarry.operators.schema import nan_literals_to_null, null_mask_any
+from quarry.operators.selection import exact_medians
+from quarry.operators.sketches import distinct_sketches, estimates, merge_sketches
 from quarry.plans import clean as CL
 from quarry.plans import report as RP
 from quarry.plans.catalog import register
 from quarry.plans.derived import sc, sl, sr, without_order
+from quarry.session import ensure_checkpoint_dir, hand_off
+from quarry.sources.csv_text import read_numbered_csv, write_text_csv
 from quarry.sources.tables import read_table
 
 
@@ -86,10 +90,37 @@ def _parsed_nulled(spark, sf) -> DataFrame:
 
 @register("column_medians")
 def q_column_medians(spark, sf):
-    m = column_medians(_parsed_nulled(spark, sf), ["gpa"] + C.GRADE_COLS)
-    cust = read_table(spark, sf, "customer", ["c_acctbal"]).select(F.median("c_acctbal")).scalar()
+    """Exact medians by distributed selection, no task merging all values."""
+    m = exact_medians(_parsed_nulled(spark, sf), ["gpa"] + C.GRADE_COLS)
+    balance = exact_medians(read_table(spark, sf, "customer", ["c_acctbal"]), ["c_acctbal"])
     return m.select(*[F.round(F.col(c), 6).alias(c) for c in m.columns],
-                    F.round(cust, 6).alias("c_acctbal"))
+                    F.round(balance.scalar(), 6).alias("c_acctbal"))
+
+
+@register("distinct_sketches")
+def q_distinct_sketches(spark, sf):
+    """Distinct customers of each order priority, of all orders and of orders
+    and customers together, from sketches that are kept per group and merged;
+    beside them the exact numbers and whether the sketches are within 3 %."""
+    orders = read_table(spark, sf, "orders", ["o_orderpriority", "o_custkey"]).select(F.col("o_orderpriority").alias("grp"), F.col("o_custkey").alias("id"))
+    customers = read_table(spark, sf, "customer", ["c_custkey"]).select(F.lit("customers").alias("grp"), F.col("c_custkey").alias("id"))
+    kept = hand_off(distinct_sketches(orders.union(customers), ["id"], ["grp"]), "sketches")
+    priorities = kept.where("grp <> 'customers'")
+    merged = [kept, *(merge_sketches([t], ["id"]).withColumn("grp", F.lit(name)) for t, name in ((priorities, "all orders"), (kept, "all")))]
+    about = estimates(reduce(DataFrame.unionByName, merged), ["id"]).withColumnRenamed("id", "about")
+    every = orders.union(customers)
+    exact = every.union(orders.select(F.lit("all orders"), "id")).union(every.select(F.lit("all"), "id")).groupBy("grp").agg(F.count_distinct("id").alias("n_distinct"))
+    return exact.join(about, "grp").select("grp", "n_distinct", (F.abs(F.col("about") - F.col("n_distinct")) <= 0.03 * F.col("n_distinct")).alias("within"))
+
+
+@register("numbered_scan")
+def q_numbered_scan(spark, sf):
+    """The raw students written as text files and read back with the order of
+    their rows, without a column that brings it."""
+    raw = sr(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/numbered/{uuid.uuid4().hex}"
+    write_text_csv(raw.repartitionByRange(7, "row_order").sortWithinPartitions("row_order"), path)
+    return read_numbered_csv(spark, path, ["row_order", "student_id"], name="position").select(F.col("row_order").cast("long").alias("row_order"), "student_id", "position")
 
 
 @register("fill_median")

@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import config as C
-from quarry.functions.bands import profile_items
+from quarry.functions.bands import basket_items, profile_items
 from quarry.operators import rules as R
 from quarry.plans.catalog import register
 from quarry.plans.derived import bk, materialize, sl
+from quarry.session import hand_off
 
 
 def mined_rules(spark, sf) -> DataFrame:
-    """All association rules of the labelled baskets (min support / confidence)."""
-    baskets = bk(spark, sf)
-    its = R.frequent_itemsets(baskets, C.MIN_SUPPORT)
-    n = baskets.select(F.count(F.lit(1))).scalar()
-    return R.association_rules(its, n, C.MIN_CONFIDENCE)
+    """All association rules of the labelled baskets (min support /
+    confidence), mined once for all keys that read them."""
+    def build():
+        baskets = bk(spark, sf)
+        its = hand_off(R.frequent_itemsets(baskets, C.MIN_SUPPORT), "itemsets")
+        return R.association_rules(its, baskets.select(F.count(F.lit(1))).scalar(), C.MIN_CONFIDENCE)
+    return materialize(spark, "rules", sf, build)
 
 
 def saved_target_rules(spark, sf) -> DataFrame:
@@ -39,6 +42,12 @@ def q_basket_long(spark, sf):
     return R.basket_long(bk(spark, sf))
 
 
+@register("basket_matrix")
+def q_basket_matrix(spark, sf):
+    """The boolean basket table over the items that bands, interests and tracks can make."""
+    return R.basket_matrix(bk(spark, sf), basket_items())
+
+
 @register("frequent_itemsets")
 def q_frequent_itemsets(spark, sf):
     its = R.frequent_itemsets(bk(spark, sf), C.MIN_SUPPORT)

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.dedupe import row_position
+from quarry.session import hand_off
+
 
 class MissingInputError(FileNotFoundError):
     pass
@@ -41,15 +44,41 @@ def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = No
     try:
         df = _options(spark.read).option("inferSchema", False).csv(path)
     except AnalysisException as e:
-        raise MissingInputError(f"input not found at '{path}'") from e
-    if columns:
-        missing = [c for c in columns if c not in df.columns]
-        if missing:
-            raise ValueError(f"'{path}' has no column {', '.join(missing)}")
-        df = df.select(*[F.col(f"`{c}`") for c in columns])
+        raise _read_error(e, path) from e
+    df = df.select(*[F.col(f"`{c}`") for c in _known(df, columns, path)])
     return keep_blanks(df) if keep_blank else df
 
 
+def _known(df: DataFrame, columns: list[str] | None, path: str) -> list[str]:
+    missing = [c for c in columns or [] if c not in df.columns]
+    if missing:
+        raise ValueError(f"'{path}' has no column {', '.join(missing)}")
+    return columns or df.columns
+
+
+def _read_error(e: AnalysisException, path: str) -> Exception:
+    """A missing path under its own name; anything else as it is."""
+    return MissingInputError(f"input not found at '{path}'") if e.getCondition() == "PATH_NOT_FOUND" else e
+
+
+def read_numbered_csv(spark: SparkSession, path: str, columns: list[str] | None = None, name: str = "row_order") -> DataFrame:
+    """The cells of ``read_text_csv`` with the rows' order in the input: files
+    by name, blocks of a file by their start, rows of a block as they stand.
+
+    A block is read by one task from its first row to its last, so numbers that
+    rise with the rows of a task order its rows; numbers of different tasks are never
+    compared.  The dense number comes from range-partitioned rows, so it is the
+    same however the blocks are dealt to tasks.  Cells stay as read."""
+    try:
+        df = _options(spark.read).option("inferSchema", False).csv(path)
+    except AnalysisException as e:
+        raise _read_error(e, path) from e
+    names = _known(df, columns, path)
+    placed = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names], F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+    return row_position(hand_off(placed, "numbered"), ["_file", "_block", "_row"], name).drop("_file", "_block", "_row")
+
+
 def stream_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """The same cells from a stream of files.  A stream needs its schema
     beforehand, so the files' headers must be ``columns`` in this order; other
