@@ -13,11 +13,15 @@ which find those that two texts have; (2) the blocks get them back with their
 frequencies.  A token of one text can't match, so the prefixes' other tokens
 become postings, and only the common tokens of indexed texts are kept for
 verification.  (3) Only components are wanted, so a posting list is not
-expanded into pairs: in each round the list's centre (its most typical member)
-is verified against the members of other components, the links are joined to
-components, and lists inside one component are dropped.  When a round links
-nothing more, all pairs of different components that share enough prefix
-tokens are verified, so no link between components is lost.
+expanded into pairs: first the list's centre (its most typical member) is
+verified against the members of other components, and lists inside one
+component are dropped.  Texts that share a prefix token then belong to the
+family of that list's centre, so every candidate pair lies in some family.  A
+family's texts are compared in tiles of at most two blocks: products of its
+token matrices count the shared prefix tokens of all pairs at once, those that
+share enough are verified by their whole sets in the same way, and a tile returns one link for a text,
+never its pairs.  So no link between components is lost, and families of texts
+that share most shingles but stay below the threshold make no rows.
 
 Equal texts are one from the start, texts with equal sets one node.  Blocks
 are hashes of the text, so no block follows a source or a group of copies.
@@ -43,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import RollingBytes, connected_components, discard, handoff, mix64, row_slices
+from quarry.llm.common import RollingBytes, Roots, connected_components, discard, handoff, mix64, row_slices
 from quarry.llm.packed import packed_blocks, unpack
 from quarry.llm.shared import SCHEMA, SharedKeys, key_rows, shared_keys, slices
 
@@ -56,7 +60,14 @@ CHUNK = 1 << 20
 BLOCK_BYTES = 8 << 20
 #: Tokens that one bucket compares, about.
 BUCKET_TOKENS = 500_000
-STAR_ROUNDS = 3
+#: A block of a family: texts, and tokens of theirs.
+FAMILY_TEXTS, FAMILY_TOKENS = 1024, 1 << 19
+#: Tokens that a task compares, about, and columns of a token matrix.
+TILE_TOKENS, COLUMNS = 1 << 21, 4096
+#: A token in so many pairs or more is counted by a matrix product.
+DENSE_PAIRS = 64
+#: Up to so many families of several blocks (one for FAMILY_TEXTS texts) are broadcast.
+BROADCAST_FAMILIES = 50_000
 #: Up to so many copies (40 bytes each) are broadcast, to leave them out of
 #: job 1; with more their tokens only pass needlessly.
 BROADCAST_COPIES = 2_000_000
@@ -193,6 +204,80 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(4), b.column(5), pa.array(both, pa.int64())], names=["a", "b", "na", "nb", "both"])
 
 
+# -- families ------------------------------------------------------------------------
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each left set shares with each right set."""
+    out = np.zeros(len(left) * len(right), dtype=np.int64)
+    size = [np.fromiter(map(len, s), dtype=np.int64, count=len(s)) for s in (left, right)]
+    owner = [np.repeat(np.arange(len(s)), k) for s, k in zip((left, right), size)]
+    token, code = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    code = [code[:len(owner[0])], code[len(owner[0]):]]
+    count = [np.bincount(c, minlength=len(token)) for c in code]
+    pairs = count[0] * count[1]
+    dense = np.flatnonzero(pairs >= DENSE_PAIRS)
+    if len(dense):
+        place = np.full(len(token), -1)
+        place[dense] = np.arange(len(dense))
+        total = np.zeros((len(left), len(right)), dtype=np.float32)  # counts below 2**24
+        for lo in range(0, len(dense), COLUMNS):
+            sides = []
+            for c, o, s in zip(code, owner, (left, right)):
+                at = place[c] - lo
+                has = (at >= 0) & (at < COLUMNS)
+                m = np.zeros((len(s), min(COLUMNS, len(dense) - lo)), dtype=np.float32)
+                m[o[has], at[has]] = 1
+                sides.append(m)
+            total += sides[0] @ sides[1].T
+        out += total.astype(np.int64).ravel()
+    few = (pairs > 0) & (pairs < DENSE_PAIRS)
+    keep = [few[c] for c in code]
+    a, b = (np.stack([c[k], o[k]]) for c, k, o in zip(code, keep, owner))
+    b = b[:, np.argsort(b[0], kind="stable")]
+    begin = np.searchsorted(b[0], a[0])
+    n = count[1][a[0]]
+    at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    out += np.bincount(np.repeat(a[1], n) * len(right) + b[1][at], minlength=len(out))
+    return out.reshape(len(left), len(right))
+
+
+def _families(percent: int):
+    """For applyInArrow by (bucket, i, j): small families whole, or two blocks
+    of a large one; rows (a, b) join each linked text to one of the others."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("family")
+        family, own, node, comp, n, l = (table.column(c).to_numpy() for c in ("family", "own", "node", "comp", "n", "l"))
+        data = table.column("tokens").combine_chunks()
+        roots = Roots(len(node))
+        first = np.flatnonzero(np.append(True, family[1:] != family[:-1]))
+        for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(family)]):
+            if hi - lo < 2 or (comp[lo:hi] == comp[lo]).all():
+                continue
+            sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64, offset=4) for x in data[lo:hi]]
+            heads = [s[:int.from_bytes(x.as_buffer()[:4].to_pybytes(), "little")] for s, x in zip(sets, data[lo:hi])]
+            whole = own[lo] == 2
+            a, b = (np.arange(hi - lo),) * 2 if whole else (np.flatnonzero(own[lo:hi] == k) for k in (0, 1))
+            if not len(a) or not len(b):
+                continue
+            common = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+            mine = lambda x: (x[lo:hi][a][:, None], x[lo:hi][b][None, :])
+            (na, nb), (la, lb), (pa_, pb) = mine(n), mine(l), mine(comp)
+            ca, cb = common[a][:, None], common[b][None, :]
+            may = ((overlaps([heads[x] for x in a], [heads[x] for x in b]) >= np.minimum(la, lb)) & (pa_ != pb)
+                   & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & ((100 + percent) * np.minimum(ca, cb) >= percent * (na + nb)))
+            if whole:
+                may = np.triu(may, 1)
+            x, y = np.flatnonzero(may.any(1)), np.flatnonzero(may.any(0))
+            if not len(x):
+                continue
+            both = overlaps([sets[k] for k in a[x]], [sets[k] for k in b[y]])
+            linked = may[np.ix_(x, y)] & (100 * both >= percent * (na[x] + nb[:, y] - both))
+            p, q = np.nonzero(linked)
+            roots.link(a[x[p]] + lo, b[y[q]] + lo)
+        moved = np.flatnonzero(roots.root != np.arange(len(node)))
+        return pa.table({"a": pa.array(node[roots.root[moved]]), "b": pa.array(node[moved])})
+    return run
+
+
 class _Join:
     """The job's tables: measured (doc_id, n, node), about (node, n, l),
     postings (token, node, rank) and sets (node, tokens)."""
@@ -257,34 +342,49 @@ class _Join:
         mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
         return handoff(rows.join(mixed, "token"), f"jaccard-{name}-mixed")
 
-    def star(self, rows: DataFrame, turn: int) -> DataFrame:
+    @staticmethod
+    def _typical(turn: int) -> Column:
+        """The centre of a list is its member with the least of these."""
+        return F.struct("rank", F.xxhash64(F.col("node"), F.lit(turn)), F.col("node").alias("a"), F.col("comp").alias("ca"))
+
+    def star(self, rows: DataFrame) -> DataFrame:
         """Candidates of the lists' centres with the members of other components."""
-        order = F.struct("rank", F.xxhash64(F.col("node"), F.lit(turn)), F.col("node").alias("a"), F.col("comp").alias("ca"))
-        centre = rows.groupBy("token").agg(F.min(order).alias("c")).select("token", "c.a", "c.ca")
+        centre = rows.groupBy("token").agg(F.min(self._typical(0)).alias("c")).select("token", "c.a", "c.ca")
         pairs = rows.join(centre, "token").where("comp <> ca").select("a", F.col("node").alias("b"))
         return self._sized(pairs.groupBy("a", "b").agg(F.count("*").alias("shared")))
 
     def rest(self, rows: DataFrame) -> DataFrame:
-        """All candidates between different components."""
-        sized = rows.join(self.about.select("node", "n", "c"), "node")
-        left = sized.select("token", F.col("node").alias("a"), F.col("comp").alias("p1"), F.col("n").alias("n1"), F.col("c").alias("c1"))
-        right = sized.select("token", F.col("node").alias("b"), F.col("comp").alias("p2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-        pairs = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("p1") != F.col("p2")) & self._may_link("n1", "n2", "c1", "c2"))
-        return self._sized(pairs.groupBy("a", "b").agg(F.count("*").alias("shared")))
+        """Links (a, b) between components: the families' tiles."""
+        centre = rows.groupBy("token").agg(F.min(self._typical(0)).alias("c")).select("token", F.col("c.a").alias("family"))
+        members = rows.join(centre, "token").select("family", "node", "comp").distinct()
+        members = handoff(members.join(self.about, "node"), "jaccard-members")
+        blocks = F.greatest(F.ceil(F.col("texts") / FAMILY_TEXTS), F.ceil(F.col("tokens") / FAMILY_TOKENS)).cast("int")
+        large = handoff(members.groupBy("family").agg(F.count("*").alias("texts"), F.sum("c").alias("tokens"))
+                        .select("family", F.when(F.col("texts") > 1, blocks).otherwise(1).alias("blocks")).where("blocks > 1"), "jaccard-large")
+        side = F.broadcast(large) if large.count() <= BROADCAST_FAMILIES else large
+        # a block of a large family meets itself (own 2) and each other block (own 0 or 1)
+        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        tiles = F.when(F.col("blocks").isNull(), F.array(F.struct(F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(2).alias("own")))).otherwise(
+            F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
+                F.least(x, block).alias("i"), F.greatest(x, block).alias("j"), F.when(x == block, 2).when(block < x, 0).otherwise(1).alias("own"))))
+        total = members.agg(F.sum("c")).first()[0] or 0
+        buckets = max(1, -(-total // TILE_TOKENS))
+        dealt = (members.join(side, "family", "left").select("family", "node", "comp", "n", "l", F.explode(tiles).alias("t")).select("family", "node", "comp", "n", "l", "t.*")
+                 .join(self.nodes.select("node", "tokens"), "node").withColumn("bucket", F.pmod(F.xxhash64("family"), F.lit(buckets)).cast("int")))
+        found = dealt.repartition(buckets, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInArrow(_families(self.percent), "a long, b long")
+        out = handoff(found, "jaccard-families")
+        discard(members, large)
+        return out
 
     def links(self) -> list[DataFrame]:
         """Tables of verified links (a, b) that connect what links connect."""
-        found: list[DataFrame] = []
-        for turn in range(STAR_ROUNDS + 1):
-            links = reduce(DataFrame.union, found) if found else None
-            rows = self.labelled(links, f"round{turn}")
-            last = turn == STAR_ROUNDS or bool(found) and found[-1].isEmpty()
-            found.append(self.verify(self.rest(rows) if last else self.star(rows, turn), f"round{turn}"))
-            discard(rows)
-            if last:
-                break
-        discard(self.nodes, self.postings)
-        return found
+        rows = self.labelled(None, "star")
+        first = self.verify(self.star(rows), "star")
+        discard(rows)
+        rows = self.labelled(first, "family")
+        second = self.rest(rows)
+        discard(rows, self.nodes, self.postings)
+        return [first, second]
 
 
 def components(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -98,3 +98,29 @@ def test_connected_components(spark):
     real = [(a, b) for a, b in links if a is not None and a != b]
     of = groups(301, real)
     assert got == {x: of[x] for pair in real for x in pair}
+
+
+@pytest.mark.parametrize("texts, tokens", [(1024, 1 << 19), (40, 1 << 19), (1024, 2000)])
+def test_family_whose_texts_share_most_shingles(spark, monkeypatch, texts, tokens):
+    """Most pairs stay below the threshold; those that reach it are found, and nothing is listed pair by pair."""
+    monkeypatch.setattr(jaccard, "FAMILY_TEXTS", texts)
+    monkeypatch.setattr(jaccard, "FAMILY_TOKENS", tokens)
+    rnd = random.Random(texts + tokens)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for i in range(320):
+        w = list(base)
+        for at in rnd.sample(range(150), rnd.choice([2, 3, 3, 4, 4, 5])):
+            w[at] = rnd.choice([f"x{rnd.randrange(4)}", f"y{i}"])
+        rows.append((i, " ".join(w)))
+    sets = sets_of([x for _, x in rows], 4)
+    of = groups(320, [(a, b) for b in range(320) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])])
+    want = [(i, len(sets[i]), of[i]) for i in range(320)]
+    assert len(set(of)) > 20  # far from one component
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, jaccard.components(docs, 4, 85).collect())) == want
+
+
+def test_overlaps_count_shared_tokens():
+    rng = np.random.default_rng(1)
+    left, right = ([np.unique(rng.integers(0, 60, size=rng.integers(0, 40))).astype(np.uint64) for _ in range(n)] for n in (30, 17))
+    assert (jaccard.overlaps(left, right) == [[len(np.intersect1d(a, b)) for b in right] for a in left]).all()
