@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.catalog import oracle
 from oracle.o_rules import MATCH
+from oracle.o_clean import clamp_float, clamp_int
 from oracle.sql import GRADES, q, recommend_sql, rnd, with_ctes
 from quarry import config as C
 from quarry.plans import advise as A
@@ -119,3 +120,10 @@ oracle("advisor_report", ADV + f"SELECT student_id, algorithm, track, top_prob A
        f"array_to_string({FAILED}, chr(44) || chr(32)) AS failed_courses, CAST(len({FAILED}) AS INTEGER) AS failed_n, "
        f"CAST(coalesce(rules_matched, 0) AS BIGINT) AS rules_matched, first_rule_conf, "
        f"array_to_string({EXPL}, ' || ') AS explanation, array_to_string({WARN}, ' || ') AS warnings FROM adv")
+
+FORM = ("(SELECT row_order, CASE row_order % 5 " + " ".join(f"WHEN {i} THEN {q(a)}" for i, a in enumerate(C.ALGORITHM_LABELS)) + f" ELSE {q(C.DEFAULT_ALGORITHM)} END AS algorithm, "
+        f"{clamp_float('gpa')} AS entered, CASE WHEN interest IN ({', '.join(q(x) for x in C.INTEREST_OPTIONS)}) THEN interest ELSE 'Undecided' END AS interest, "
+        + ", ".join(f"{clamp_int(g)} AS {g}" for g in GRADES) + " FROM sr)")
+oracle("request_profiles", SR + f"SELECT row_order, algorithm, round(CASE WHEN entered > 0 THEN entered ELSE {AUTO} END, 6) AS gpa, interest, {', '.join(GRADES)}, "
+       f"CAST({' + '.join(f'CAST({g} >= 60 AS INTEGER)' for g in GRADES)} AS INTEGER) AS passed_count, "
+       f"CAST({' + '.join(f'CAST({g} < 70 AS INTEGER)' for g in GRADES)} AS INTEGER) AS weak_count FROM {FORM} f")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle.catalog import oracle
 from oracle.sql import q, rnd, with_ctes
 from quarry import config as C
@@ -39,10 +41,10 @@ def dist(a: str, b: str) -> str:
 
 
 SPLIT = with_ctes("sl", split_cte())
-KNN = with_ctes("sl", split_cte() + "," + space_cte("split", "NOT is_test") + f""",
+KNN_ALL = with_ctes("sl", split_cte() + "," + space_cte("split", "NOT is_test") + f""",
 nn AS (
   SELECT q.row_order AS qid, h.row_order AS hid, h.{T} AS label, {dist('q', 'h')} AS dist
-  FROM space q JOIN space h ON q.is_test AND NOT h.is_test
+  FROM space q JOIN space h ON NOT h.is_test
   QUALIFY row_number() OVER (PARTITION BY q.row_order ORDER BY dist, h.row_order) <= {C.KNN_K}
 ), wts AS (
   SELECT *, CASE WHEN max(CAST(dist = 0 AS INTEGER)) OVER (PARTITION BY qid) = 1
@@ -56,6 +58,7 @@ nn AS (
   FROM probs p JOIN split s ON p.qid = s.row_order
   QUALIFY row_number() OVER (PARTITION BY p.qid ORDER BY p.score DESC, p.label) = 1
 )""")
+KNN = KNN_ALL.replace("ON NOT h.is_test", "ON q.is_test AND NOT h.is_test")
 
 oracle("label_encode", SL + f"SELECT student_id, {T}, CAST(dense_rank() OVER (ORDER BY {T}) - 1 AS INTEGER) AS label FROM sl")
 oracle("standard_scale", with_ctes("sl", space_cte("sl", "true")) + "SELECT student_id, "
@@ -81,7 +84,7 @@ FOLD_CASE = "CASE " + " ".join(f"WHEN j < b{f} THEN {f}" for f in range(C.CV_FOL
 oracle("fold_assign", FOLDS + f"SELECT r.student_id, r.{T}, CAST({FOLD_CASE} AS INTEGER) AS fold "
        f"FROM ranked r JOIN bnd b ON r.{T} = b.{T}")
 oracle("knn_classify", KNN + "SELECT student_id, actual, predicted, round(confidence, 6) AS confidence FROM pred")
-oracle("predict_proba_dense", KNN + f""", dense AS (
+oracle("predict_proba_dense", KNN_ALL + f""", dense AS (
   SELECT p.qid, s.student_id, c.track, {rnd('coalesce(pr.prob, 0.0) * 100.0', 1)} AS prob_pct
   FROM pred p JOIN split s ON p.qid = s.row_order
   CROSS JOIN (SELECT unnest([{", ".join(q(t) for t in sorted(C.TRACK_NAMES))}]) AS track) c
@@ -179,7 +182,7 @@ FOLD_STATS = " UNION ALL ".join(
     + f" FROM folded WHERE fold <> {f}" for f in range(C.CV_FOLDS))
 FOLD_Z = ", ".join(f"(CAST(t.{c} AS DOUBLE) - st.m_{c}) / (CASE WHEN st.s_{c} IS NULL OR st.s_{c} < 1e-12 THEN 1.0 ELSE st.s_{c} END) AS z_{c}" for c in NUM)
 FOLD_OH = ", ".join(f"CAST(t.interest = {q(v)} AS DOUBLE) AS oh_{i}" for i, v in enumerate(CATS))
-oracle("cross_validate", FOLDS + f""", folded AS (
+CV = f"""folded AS (
   SELECT s.*, CAST({FOLD_CASE} AS INTEGER) AS fold FROM sl s JOIN ranked r ON s.row_order = r.row_order JOIN bnd b ON r.{T} = b.{T}
 ), fold_st AS ({FOLD_STATS}
 ), space AS (
@@ -194,5 +197,27 @@ oracle("cross_validate", FOLDS + f""", folded AS (
 ), pred AS (
   SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, label) = 1
 ), per AS (SELECT part AS fold, avg(CAST(actual = label AS DOUBLE)) AS acc FROM pred GROUP BY part)
-SELECT fold, round(acc * 100.0, 2) AS accuracy_pct, (SELECT {rnd('avg(acc) * 100.0', 2)} FROM per) AS cv_mean,
+"""
+oracle("cross_validate", FOLDS + ", " + CV + f"""SELECT fold, round(acc * 100.0, 2) AS accuracy_pct, (SELECT {rnd('avg(acc) * 100.0', 2)} FROM per) AS cv_mean,
   (SELECT {rnd('stddev_pop(acc) * 100.0', 2)} FROM per) AS cv_std FROM per""")
+
+CARD_CV = CV
+for name in ("space", "nn", "wts", "votes", "pred", "per", "fold_st", "folded"):
+    CARD_CV = re.sub(rf"\b{name}\b", f"cv_{name}", CARD_CV)
+FOLDS_TAIL = FOLDS[FOLDS.index("cls AS ("):]
+oracle("model_cards_knn", KNN + ", " + FOLDS_TAIL + ", " + CARD_CV.rstrip() + f""", cells AS (
+  SELECT a.label AS actual, p.label AS predicted, CAST((SELECT count(*) FROM pred x WHERE x.actual = a.label AND x.predicted = p.label) AS DOUBLE) AS n
+  FROM {LABELS} a, {LABELS} p
+), sides AS (
+  SELECT l.label AS item, (SELECT sum(n) FROM cells WHERE actual = l.label) AS support, (SELECT sum(n) FROM cells WHERE predicted = l.label) AS given,
+    (SELECT sum(n) FROM cells WHERE actual = l.label AND predicted = l.label) AS hit FROM {LABELS} l
+), rates AS (
+  SELECT item, support, CASE WHEN given > 0 THEN hit / given ELSE 0.0 END AS precision, CASE WHEN support > 0 THEN hit / support ELSE 0.0 END AS recall FROM sides
+)
+SELECT 'knn' AS model, 'accuracy' AS figure, '' AS item, (SELECT {rnd('sum(CASE WHEN actual = predicted THEN n ELSE 0 END) / sum(n) * 100.0', 2)} FROM cells) AS value
+UNION ALL SELECT 'knn', 'precision', item, round(precision, 6) FROM rates UNION ALL SELECT 'knn', 'recall', item, round(recall, 6) FROM rates
+UNION ALL SELECT 'knn', 'f1', item, round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END, 6) FROM rates
+UNION ALL SELECT 'knn', 'support', item, support FROM rates
+UNION ALL SELECT 'knn', 'confusion', actual || ' > ' || predicted, n FROM cells
+UNION ALL SELECT 'knn', 'cv_mean', '', (SELECT {rnd('avg(acc) * 100.0', 2)} FROM cv_per)
+UNION ALL SELECT 'knn', 'cv_std', '', (SELECT {rnd('stddev_pop(acc) * 100.0', 2)} FROM cv_per)""")

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry import config as C
-from quarry.functions.bands import courses_where
+from quarry.functions.bands import courses_where, profile_items
+from quarry.functions.numeric import round_half_even
+from quarry.session import hand_off
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: advice texts (must read exactly like the original's advice).
@@ -166,3 +168,41 @@ def feature_row() -> list[Column]:
         cols += [(F.col(f"{k}_grade") >= C.PASS_MARK).cast("int").alias(f"{k}_passed"),
                  (F.col(f"{k}_grade") < C.PASS_MARK).cast("int").alias(f"{k}_failed")]
     return cols
+
+
+def model_profiles(requests: DataFrame) -> DataFrame:
+    """Form requests (row_order, algorithm, gpa, interest and grades, all
+    text) as the models read them, one row each under its number."""
+    p = profile_inputs(requests.withColumn("student_id", F.col("row_order").cast("string")))
+    return p.select("student_id", F.col("student_id").cast("long").alias("row_order"), "algorithm", "gpa", "interest", *C.GRADE_COLS, *feature_row())
+
+
+def model_advice(models: dict, requests: DataFrame) -> DataFrame:
+    """The whole report of each request by the model it names (or the default):
+    track and probability, all models' answers, matched rules, explanation,
+    warnings, plan, track facts and similar students."""
+    from quarry.operators import rules as R
+    from quarry.plans import models as M
+    full = hand_off(model_profiles(requests), "advice-profiles")
+    scored = hand_off(M.predict_all(models, full).withColumn("pct", round_half_even(F.col("confidence") * 100.0, 1)), "advice-scored")
+    chosen = (full.select("student_id", F.col("algorithm").alias("model")).join(scored, ["student_id", "model"])
+              .select("student_id", F.col("predicted").alias("track"), F.col("pct").alias("top_prob")))
+    label = F.create_map(*[F.lit(x) for kv in C.ALGORITHM_LABELS.items() for x in kv])
+    order = F.array_position(F.array(*[F.lit(m) for m in C.ALGORITHM_LABELS]), F.col("model"))
+    # three answers a profile
+    answers = scored.join(chosen, "student_id").groupBy("student_id").agg(F.array_sort(F.collect_list(F.struct(
+        order.alias("place"), label[F.col("model")].alias("algorithm"), F.col("predicted").alias("track"), F.col("pct").alias("confidence"), (F.col("predicted") == F.col("track")).alias("agrees")))).alias("c"))
+    comparison = F.transform("c", lambda x: x.dropFields("place")).alias("comparison")
+    matched = R.match_rules(full.select("student_id", profile_items().alias("items")), models["rules"], per_profile=C.RULES_PER_PROFILE)
+    rules = matched.groupBy("student_id").agg(F.count(F.lit(1)).alias("rules_matched"), F.min_by(R.display_rule_columns(matched)[1], F.col("rule_rank")).alias("first_rule_conf"))
+    # four neighbours a profile
+    near = M.similar_students(models, full).groupBy("student_id").agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour_id", "gpa", "interest", "track", "failed_courses", "similarity"))).alias("similar"))
+    dim = track_dimension(full.sparkSession).select("track", "short", "electives", "careers", F.col("description").alias("track_description"))
+    accuracy = models["metrics"].select(F.col("model").alias("algorithm"), F.col("accuracy_pct").alias("accuracy"))
+    a = (full.join(chosen, "student_id").join(answers.select("student_id", comparison), "student_id").join(rules, "student_id", "left").join(near, "student_id", "left")
+         .join(F.broadcast(dim), "track").join(F.broadcast(accuracy), "algorithm"))   # five and three rows
+    track, interest = F.col("track"), F.col("interest")
+    return a.select(
+        "row_order", "algorithm", "accuracy", "track", F.col("top_prob").alias("confidence"), "gpa", "interest", F.array_join(failed_courses_list(), ", ").alias("failed_courses"),
+        F.coalesce("rules_matched", F.lit(0).cast("long")).alias("rules_matched"), explanation(track, interest, F.col("top_prob"), F.col("first_rule_conf")).alias("explanation"),
+        warnings(track).alias("warnings"), graduation_path(track).alias("plan"), "short", "electives", "careers", "track_description", "comparison", "similar")

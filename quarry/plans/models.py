@@ -9,23 +9,24 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry import config as C
 from quarry.functions.numeric import round_half_even
+from quarry.functions.text import safe_text
 from quarry.operators import evaluate as EV
 from quarry.operators import features as FT
 from quarry.operators.knn import predict_from_votes, vote
 from quarry.operators.metric import nearest
+from quarry.session import hand_off
 
 TREES = ("decision_tree", "random_forest")
 MODELS = (*TREES, "knn")
 NUM = C.NUMERIC_FEATURES
+#: What the bundle keeps of a historical student beside id, vector and track.
+HISTORY = ["gpa", "interest", "failed_courses", *C.GRADE_COLS]
 
 
 class MissingBundleError(FileNotFoundError):
@@ -62,9 +63,9 @@ def save_models(split: DataFrame, rules: DataFrame, path: str) -> None:
     their test metrics, confusion tables, importances and rules below ``path``."""
     spark = split.sparkSession
     train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
+    # the training matrix, and beside it all historical rows in the same space
     matrix = space_of(split, train)
-    (matrix.filter(~F.col("is_test")).select(F.col("row_order").alias("hid"), "vec", F.col(C.TARGET).alias("label"))
-     .write.mode("overwrite").parquet(f"{path}/knn"))
+    matrix.select(F.col("row_order").alias("hid"), "vec", F.col(C.TARGET).alias("label"), "is_test", "student_id", *HISTORY).write.mode("overwrite").parquet(f"{path}/history")
     stats = train.agg(*[x for c in NUM for x in (F.avg(F.col(c).cast("double")).alias(f"m__{c}"), F.stddev_pop(F.col(c).cast("double")).alias(f"s__{c}"))])
     stats.write.mode("overwrite").parquet(f"{path}/scaler")
     for kind in TREES:
@@ -84,19 +85,19 @@ def save_models(split: DataFrame, rules: DataFrame, path: str) -> None:
 def load_models(spark: SparkSession, path: str, complete: bool = True) -> dict:
     """The models and tables of a saved bundle."""
     try:
-        out: dict = {k: PipelineModel.load(f"{path}/{k}") for k in TREES}
-        tables = ("knn", "scaler", *(("metrics", "confusion", "importance", "rules", "test_predictions") if complete else ()))
-        out |= {k: spark.read.parquet(f"{path}/{k}") for k in tables}
-    except Exception as e:
-        if isinstance(e, AnalysisException) or "does not exist" in str(e):
-            raise MissingBundleError(f"no complete model bundle at '{path}'") from e
-        raise
+        tables = ("history", "scaler", *(("metrics", "confusion", "importance", "rules", "test_predictions") if complete else ()))
+        out: dict = {k: spark.read.parquet(f"{path}/{k}") for k in tables}
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise MissingBundleError(f"no complete model bundle at '{path}'") from e
+    out |= {k: PipelineModel.load(f"{path}/{k}") for k in TREES}
+    out["knn"] = out["history"].filter(~F.col("is_test")).select("hid", "vec", "label")
     return out
 
 
-def predict_all(models: dict, profiles: DataFrame) -> DataFrame:
-    """Every profile through every model: model, student_id, predicted,
-    confidence (share of the vote or class probability)."""
+def profile_vectors(models: dict, profiles: DataFrame) -> DataFrame:
+    """Profiles in the space of the training matrix: qid, vec."""
     stats = models["scaler"].select(F.struct("*").alias("st")).scalar()
     rows = profiles.withColumn("_st", stats)
     zs = []
@@ -104,7 +105,13 @@ def predict_all(models: dict, profiles: DataFrame) -> DataFrame:
         s = F.col("_st")[f"s__{c}"]
         zs.append((F.col(c).cast("double") - F.col("_st")[f"m__{c}"]) / F.when(s.isNull() | (s < 1e-12), F.lit(1.0)).otherwise(s))
     vec = F.array(*zs, *[(F.col("interest") == F.lit(v)).cast("double") for v in FT.interest_categories()])
-    votes = knn_votes(rows.select(F.col("row_order").alias("qid"), vec.alias("vec")), models["knn"])
+    return rows.select(F.col("row_order").alias("qid"), vec.alias("vec"))
+
+
+def predict_all(models: dict, profiles: DataFrame) -> DataFrame:
+    """Every profile through every model: model, student_id, predicted,
+    confidence (share of the vote or class probability)."""
+    votes = knn_votes(profile_vectors(models, profiles), models["knn"])
     near = predict_from_votes(votes).join(profiles.select(F.col("row_order").alias("qid"), "student_id"), "qid")
     out = near.select(F.lit("knn").alias("model"), "student_id", "predicted", "confidence")
     for kind in TREES:
@@ -126,6 +133,18 @@ def compare(models: dict, profiles: DataFrame) -> DataFrame:
                     (F.col("predicted") == F.col("chosen_track")).alias("agrees"), F.col("accuracy_pct").alias("accuracy")))
 
 
+def similar_students(models: dict, profiles: DataFrame, limit: int = C.SIMILAR_STUDENTS) -> DataFrame:
+    """The nearest historical students of every profile, from a loaded bundle:
+    student_id, rank, neighbour_id, gpa, interest, track, failed_courses, similarity."""
+    near = nearest(profile_vectors(models, profiles), models["history"].select("hid", "vec"), limit)
+    last = F.max("dist").over(Window.partitionBy("qid"))
+    similarity = round_half_even(F.greatest(F.lit(0.0), 100.0 - F.col("dist") / F.greatest(last, F.lit(0.001)) * 25.0), 1)
+    held = models["history"].select("hid", safe_text("student_id", "Unknown").alias("neighbour_id"), round_half_even("gpa", 2).alias("gpa"), safe_text("interest", "Undecided").alias("interest"),
+                                    safe_text("label", "Unknown").alias("track"), safe_text("failed_courses").alias("failed_courses"))
+    return (near.withColumn("similarity", similarity).join(held, "hid").join(profiles.select(F.col("row_order").alias("qid"), "student_id"), "qid")
+            .select("student_id", "rank", "neighbour_id", "gpa", "interest", "track", "failed_courses", "similarity"))
+
+
 # -- cross-validation -------------------------------------------------------------
 def cross_validate_knn(folds: DataFrame) -> DataFrame:
     """k-fold accuracy of the neighbour model, all folds in one job: every row
@@ -149,12 +168,46 @@ def cross_validate_knn(folds: DataFrame) -> DataFrame:
 
 
 def cross_validate_trees(folds: DataFrame) -> DataFrame:
-    """k-fold accuracy of the trees on the same folds, by MLlib's
-    cross-validator: model, fold, accuracy_pct."""
-    spark, rows = folds.sparkSession, []
+    """k-fold accuracy of the trees on the same folds: a row for each model and
+    fold with the model's mean and std.  A fold's model is fitted, its
+    predictions are written, and it is dropped; nothing of the folds stays on
+    the driver."""
+    scored = None
     for kind in TREES:
-        search = CrossValidator(estimator=EV.tree_pipeline(kind), estimatorParamMaps=ParamGridBuilder().build(), foldCol="fold", numFolds=C.CV_FOLDS,
-                                evaluator=MulticlassClassificationEvaluator(metricName="accuracy"), collectSubModels=True, parallelism=2)
-        fitted = search.fit(folds)
-        rows += [(kind, round(100 * m, 2), round(100 * s, 2)) for m, s in zip(fitted.avgMetrics, fitted.stdMetrics)]
-    return spark.createDataFrame(rows, T.StructType().add("model", "string").add("cv_mean", "double").add("cv_std", "double"))
+        for f in range(C.CV_FOLDS):
+            model = EV.fit_rows(folds.filter(F.col("fold") != f), kind)
+            held = folds.filter(F.col("fold") == f)
+            out = hand_off(tree_scores(model, held).join(held.select("student_id", C.TARGET), "student_id")
+                           .select(F.lit(kind).alias("model"), F.lit(f).alias("fold"), (F.col("predicted") == F.col(C.TARGET)).cast("double").alias("right")), "cv")
+            scored = out if scored is None else scored.unionByName(out)
+    per = scored.groupBy("model", "fold").agg(F.avg("right").alias("acc"))
+    whole = per.groupBy("model").agg(round_half_even(F.avg("acc") * 100.0, 2).alias("cv_mean"), round_half_even(F.stddev_pop("acc") * 100.0, 2).alias("cv_std"))
+    return per.join(whole, "model").select("model", "fold", F.round(F.col("acc") * 100.0, 2).alias("accuracy_pct"), "cv_mean", "cv_std")   # a few rows
+
+
+# -- model cards ------------------------------------------------------------------
+def model_cards(scored: DataFrame, cv: DataFrame, importance: DataFrame | None = None) -> DataFrame:
+    """What the dashboard shows of each model, a row for each figure: model,
+    figure, item, value.  ``scored``: model, actual, predicted of the test
+    rows; ``cv``: model, cv_mean, cv_std; ``importance``: of the forest."""
+    cells = scored.groupBy("model", "actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
+    labels = F.array(*[F.lit(x) for x in sorted(C.TRACK_NAMES)])
+    names = scored.select("model").distinct()
+    dense = (names.select("model", F.explode(labels).alias("actual")).select("model", "actual", F.explode(labels).alias("predicted"))
+             .join(cells, ["model", "actual", "predicted"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("double")))
+    right = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0.0))
+    accuracy = cells.groupBy("model").agg(round_half_even(F.sum(right) / F.sum("n") * 100.0, 2).alias("value")).select("model", F.lit("accuracy").alias("figure"), F.lit("").alias("item"), "value")
+    # a class as the actual one, and as the predicted one
+    sides = [dense.groupBy("model", F.col(c).alias("item")).agg(F.sum("n").alias(name), F.sum(right).alias("right")) for c, name in (("actual", "support"), ("predicted", "given"))]
+    per = sides[0].join(sides[1].drop("right"), ["model", "item"])
+    share = lambda x, y: F.when(y > 0, x / y).otherwise(F.lit(0.0))
+    per = per.withColumn("precision", share(F.col("right"), F.col("given"))).withColumn("recall", share(F.col("right"), F.col("support")))
+    both = F.col("precision") + F.col("recall")
+    per = per.withColumn("f1", share(2 * F.col("precision") * F.col("recall"), both))
+    report = per.unpivot(["model", "item"], ["precision", "recall", "f1", "support"], "figure", "value")
+    confusion = dense.select("model", F.lit("confusion").alias("figure"), F.concat_ws(" > ", "actual", "predicted").alias("item"), F.col("n").alias("value"))
+    validated = cv.select("model", "cv_mean", "cv_std").distinct().unpivot(["model"], ["cv_mean", "cv_std"], "figure", "value").select("model", "figure", F.lit("").alias("item"), "value")
+    out = accuracy.unionByName(report.select("model", "figure", "item", "value")).unionByName(confusion).unionByName(validated)
+    if importance is not None:
+        out = out.unionByName(importance.select(F.lit("random_forest").alias("model"), F.lit("importance").alias("figure"), F.col("group").alias("item"), F.col("importance").alias("value")))
+    return out.select("model", "figure", "item", F.round("value", 6).alias("value"))

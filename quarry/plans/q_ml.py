@@ -89,9 +89,22 @@ def q_knn_classify(spark, sf):
     return p.select("student_id", "actual", "predicted", F.round("confidence", 6).alias("confidence"))
 
 
+def knn_profile_votes(spark, sf) -> DataFrame:
+    """The neighbour model's vote shares for every profile: student_id, probs."""
+    def build():
+        data = split_students(spark, sf)
+        space = train_space(spark, sf)
+        h = space.filter(~F.col("is_test")).select(F.col("row_order").alias("hid"), "vec")
+        votes = vote(nearest(space.select(F.col("row_order").alias("qid"), "vec"), h, C.KNN_K), data.select(F.col("row_order").alias("hid"), F.col(C.TARGET).alias("label")))
+        probs = votes.groupBy("qid").agg(F.map_from_entries(F.collect_list(F.struct("label", "prob"))).alias("probs"))   # a few classes
+        return data.select(F.col("row_order").alias("qid"), "student_id").join(probs, "qid")
+    return materialize(spark, "knn_votes", sf, build)
+
+
 @register("predict_proba_dense")
 def q_proba(spark, sf):
-    p = knn_test_predictions(spark, sf)
+    """Every profile's probability for every track, ranked."""
+    p = knn_profile_votes(spark, sf)
     classes = F.array(*[F.lit(t) for t in sorted(C.TRACK_NAMES)])
     long = p.select("student_id", F.explode(classes).alias("track"), "probs")
     pct = round_half_even(F.coalesce(F.col("probs")[F.col("track")], F.lit(0.0)) * 100.0, 1)
@@ -226,10 +239,14 @@ def q_cross_validate(spark, sf):
     return M.cross_validate_knn(folds_of(spark, sf))
 
 
+def tree_folds(spark, sf) -> DataFrame:
+    return materialize(spark, "tree_folds", sf, lambda: M.cross_validate_trees(folds_of(spark, sf)))
+
+
 @register("cross_validate_trees")
 def q_cross_validate_trees(spark, sf):
-    """The same folds for the two trees: mean and std of the accuracy."""
-    return M.cross_validate_trees(folds_of(spark, sf))
+    """The same folds for the two trees: per fold, mean and std of the accuracy."""
+    return tree_folds(spark, sf)
 
 
 def bundle(spark, sf) -> dict:
@@ -254,3 +271,19 @@ def q_compare_models(spark, sf):
 def q_evaluate_models(spark, sf):
     """Test confusion cells of the three models."""
     return bundle(spark, sf)["confusion"].select("model", "actual", "predicted", "count")
+
+
+@register("model_cards_knn")
+def q_model_cards_knn(spark, sf):
+    """The neighbour model's card: accuracy, report, confusion, cross-validation."""
+    pred = knn_test_predictions(spark, sf).select(F.lit("knn").alias("model"), "actual", "predicted")
+    return M.model_cards(pred, M.cross_validate_knn(folds_of(spark, sf)).withColumn("model", F.lit("knn")))
+
+
+@register("model_cards")
+def q_model_cards(spark, sf):
+    """The cards of the three saved models, the forest's with its importances."""
+    models = bundle(spark, sf)
+    cv = M.cross_validate_knn(folds_of(spark, sf)).withColumn("model", F.lit("knn")).select("model", "cv_mean", "cv_std")
+    cv = cv.unionByName(tree_folds(spark, sf).select("model", "cv_mean", "cv_std"))
+    return M.model_cards(models["test_predictions"], cv, models["importance"])
