@@ -40,6 +40,17 @@ def discard(*tables: DataFrame) -> None:
             place.getFileSystem(jsc.hadoopConfiguration()).delete(place, True)
 
 
+#: Bytes of a batch of texts that Spark hands to Python at a time.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Bound the session's batches by bytes: ten thousand rows, Spark's usual
+    bound, are tens of megabytes of texts on both sides, several times over."""
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def row_slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges whose sizes sum to at most ``limit`` (a larger
     row stands alone), so a task's working memory doesn't follow the batch."""

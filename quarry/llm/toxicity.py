@@ -25,12 +25,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quarry.llm.common import discard, handoff, sum_vectors
+from quarry.llm.common import discard, handoff, row_slices, sum_vectors, text_batches, text_sizes
 
 #: Bound of the training sample, in labelled texts.
 TRAIN_ROWS = 20_000
@@ -43,6 +43,8 @@ LEAST_EVIDENCE = 8.0
 SMOOTH = 1.0
 PENALTY = 0.01
 WINDOW = 1 << 18
+#: Bytes of texts whose features a task holds at a time.
+SLICE_BYTES = 1 << 20
 
 
 class NgramMarks:
@@ -87,8 +89,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     marks, size = NgramMarks(), 1 << HASH_BITS
     count, seen = np.zeros((2, size), dtype=np.int32), False
     for b in batches:
-        for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            count[y, marks.indices(t or "")] += 1
+        for t, y in zip(b.column(0), b.column(1).to_pylist()):
+            count[y, marks.indices(t.as_py() or "")] += 1
             seen = True
     if seen:
         flat, width = count.reshape(-1), 2 * size // (2 * SLICES)
@@ -125,6 +127,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on the documents whose id has a label."""
     spark = docs.sparkSession
+    text_batches(spark)
     known = (labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
              .where("y in (0, 1)").orderBy(F.xxhash64("id"), "id").limit(train_rows))
     sample = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(known), "id").select("text", "y")  # bounded by train_rows
@@ -141,18 +144,26 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     kept, ratio = select_features(count[0].astype(float), count[1].astype(float), n_other, n_toxic)
     place = np.full(size, -1, dtype=np.int32)
     place[kept] = np.arange(len(kept))
+    used, width = place >= 0, max(1, len(kept))
+
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sparse vectors as MLlib stores them (type, size, indices, values)."""
         marks = NgramMarks()
         for b in batches:
-            at = [place[marks.indices(t or "", place >= 0)] for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([x.tolist() for x in at], pa.list_(pa.int32())), pa.array([ratio[x].tolist() for x in at], pa.list_(pa.float64())), b.column(1)], names=["at", "value", "label"])
-
-    rows = spread.mapInArrow(vectors, "at array<int>, value array<double>, label int")
-    width = max(1, len(kept))
-    to_vector = F.udf(lambda at, value: Vectors.sparse(width, at, value), VectorUDT())
-    features = handoff(rows.select(to_vector("at", "value").alias("features"), F.col("label").cast("double").alias("label")), "toxicity-features")
+            for lo, hi in row_slices(text_sizes(b.column(0)), SLICE_BYTES):
+                at = [place[marks.indices(t.as_py() or "", used)] for t in b.column(0).slice(lo, hi - lo)]
+                offsets = pa.array(np.cumsum([0, *map(len, at)]).astype(np.int32))
+                flat = np.concatenate(at).astype(np.int32)
+                vector = pa.StructArray.from_arrays(
+                    [pa.array(np.zeros(hi - lo, dtype=np.int8)), pa.array(np.full(hi - lo, width, dtype=np.int32)),
+                     pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.ListArray.from_arrays(offsets, pa.array(ratio[flat]))], names=["type", "size", "indices", "values"])
+                yield pa.RecordBatch.from_arrays([vector, b.column(1).slice(lo, hi - lo).cast(pa.float64())], names=["features", "label"])
+
+    written = handoff(spread.mapInArrow(vectors, "features struct<type:tinyint,size:int,indices:array<int>,values:array<double>>, label double"), "toxicity-features")
+    # read back as vectors: the stored form is the same
+    features = spark.read.schema(StructType([StructField("features", VectorUDT()), StructField("label", DoubleType())])).parquet(written.__dict__["handoff_path"])
     fitted = LogisticRegression(regParam=PENALTY, elasticNetParam=0.0, standardization=False, maxIter=40, tol=1e-6).fit(features)
-    discard(train, features)
+    discard(train, written)
     weight = np.zeros(size)
     weight[kept] = fitted.coefficients.toArray()[:len(kept)] * ratio
     return Model(weight, float(fitted.intercept))
@@ -161,6 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``score`` (double) in place of, or behind,
     them; the text is the only input of the score."""
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((model.weight, model.intercept))
     names = [c for c in docs.columns if c != "score"]
     at = names.index(text)
@@ -169,7 +181,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, model = NgramMarks(), Model(*sent.value)
         for b in batches:
-            z = [float(model.score(marks, t or "")) for t in b.column(at).to_pylist()]
+            z = [float(model.score(marks, t.as_py() or "")) for t in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(z, pa.float64())], names=[*names, "score"])
 
     return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, schema)
