@@ -162,7 +162,8 @@ oracle("dataset_profile", SL + " UNION ALL ".join(
     + " UNION ALL SELECT 'summary', 'missing_cells', CAST(" + " + ".join(
         f"sum(CAST({c} IS NULL AS BIGINT))" for c in C.CLEAN_ORDER) + " AS DOUBLE) FROM sl"
     + " UNION ALL SELECT 'track', recommended_track, CAST(count(*) AS DOUBLE) FROM sl GROUP BY recommended_track"
-    + " UNION ALL SELECT 'interest', interest, CAST(count(*) AS DOUBLE) FROM sl GROUP BY interest")
+    + " UNION ALL SELECT 'interest', interest, CAST(count(*) AS DOUBLE) FROM sl GROUP BY interest"
+    + "".join(f" UNION ALL SELECT '{s}_pct', {c}, {rnd('count(*) / (SELECT count(*) FROM sl) * 100.0', 1)} FROM sl GROUP BY {c}" for s, c in (("track", "recommended_track"), ("interest", "interest"))))
 DASH = (SL + "SELECT 'total_students' AS card, 'all' AS key, CAST(count(*) AS DOUBLE) AS value FROM sl "
         f"UNION ALL SELECT 'failed_rate', 'all', {rnd('avg(CAST(failed_count > 0 AS DOUBLE)) * 100.0', 1)} FROM sl "
         "UNION ALL SELECT 'track_count', recommended_track, CAST(count(*) AS DOUBLE) FROM sl GROUP BY 2 "

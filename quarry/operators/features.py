@@ -20,11 +20,12 @@ KEY_BUCKETS = 1000
 
 
 def label_index(df: DataFrame, col: str, out: str = "label") -> DataFrame:
-    """Alphabetical label encoding 0..n-1 (``LabelEncoder``); the distinct
-    labels (a tiny set) are ranked once and broadcast back."""
-    labels = df.select(col).distinct()
-    ranked = labels.withColumn(out, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int"))
-    return df.join(F.broadcast(ranked), col)
+    """Alphabetical label encoding 0..n-1 (``LabelEncoder``) for any number of
+    labels: the distinct ones are numbered from range partitions and joined
+    back, by broadcast where Spark sees that they are few.  Rows without a label
+    are left out."""
+    labels = df.select(col).where(F.col(col).isNotNull()).distinct()
+    return df.join(row_position(labels, col, out).withColumn(out, F.col(out).cast("int")), col)
 
 
 def scaler_stats(fit: DataFrame, cols: list[str]) -> dict[str, tuple[Column, Column]]:

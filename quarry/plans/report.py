@@ -122,8 +122,9 @@ def dataset_profile(labelled: DataFrame) -> DataFrame:
     for field, section in [("recommended_track", "track"), ("interest", "interest")]:
         if field in labelled.columns:
             vc = value_counts_pct(labelled, field)
-            dists.append(vc.select(F.lit(section).alias("section"), F.col("value").alias("name"),
-                                   F.col("count").cast("double").alias("value")))
+            figures = F.array(F.struct(F.lit(section).alias("section"), F.col("value").alias("name"), F.col("count").cast("double").alias("value")),
+                              F.struct(F.lit(f"{section}_pct").alias("section"), F.col("value").alias("name"), F.col("pct").alias("value")))
+            dists.append(vc.select(F.inline(figures)))
     out = totals
     for d in dists:
         out = out.unionByName(d)

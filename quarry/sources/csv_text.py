@@ -61,6 +61,17 @@ def _read_error(e: AnalysisException, path: str) -> Exception:
     return MissingInputError(f"input not found at '{path}'") if e.getCondition() == "PATH_NOT_FOUND" else e
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet table at ``path``, or a table of ``schema`` without rows
+    where there is none yet: what a dashboard shows before the first load."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_numbered_csv(spark: SparkSession, path: str, columns: list[str] | None = None, name: str = "row_order") -> DataFrame:
     """The cells of ``read_text_csv`` with the rows' order in the input: files
     by name, blocks of a file by their start, rows of a block as they stand.
