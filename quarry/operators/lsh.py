@@ -21,7 +21,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.metric import BLOCK, SAMPLE_ROWS, _matrix, distances, nearest
+from quarry.operators.metric import BLOCK, SAMPLE_ROWS, Search, _matrix, distances
 from quarry.session import hand_off
 
 TABLES, GROUP = 8, 3
@@ -69,7 +69,7 @@ def approx_nearest(queries: DataFrame, history: DataFrame, k: int, qid: str = "q
     held = hand_off(shape(history, hid, "hid").withColumn("_n", F.row_number().over(least)).where(F.col("_n") <= k).drop("_n"), "lsh-history")
     sample = _matrix(held.orderBy(F.xxhash64("hid"), "hid").select("vec").limit(SAMPLE_ROWS).toArrow().column("vec"))
     if not len(sample):
-        return nearest(asked, held, k)
+        return Search(asked, held, k).neighbours()
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=length or bucket_length(sample, k), numHashTables=tables * group, seed=seed)
     model = lsh.fit(held.limit(1).select(array_to_vector("vec").alias("features")))  # it only looks at the size
 
@@ -103,7 +103,7 @@ def approx_nearest(queries: DataFrame, history: DataFrame, k: int, qid: str = "q
     rows = min(k, n)
     full = found.groupBy("qid").agg(F.count("*").alias("n")).where(F.col("n") >= rows).select("qid")
     short = hand_off(asked.join(full, "qid", "left_anti"), "lsh-short")
-    return found.join(full, "qid", "left_semi").unionByName(nearest(short, held, k)) if not short.isEmpty() else found
+    return found.join(full, "qid", "left_semi").unionByName(Search(short, held, k).neighbours()) if not short.isEmpty() else found
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

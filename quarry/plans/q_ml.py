@@ -193,7 +193,7 @@ def q_knn_embeddings(spark, sf):
     """Leave-one-out 9-NN label vote over the embeddings table."""
     emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
     v = emb.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
-    nn = nearest(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), C.KNN_K + 1)
+    nn = Search(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), C.KNN_K + 1).neighbours()   # through the index at any size
     nn = nn.filter(F.col("qid") != F.col("hid"))
     nn = nn.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("dist", "hid"))) \
            .filter(F.col("rank") <= C.KNN_K)

@@ -53,3 +53,60 @@ def test_columns_are_matched_by_name(spark, tmp_path):
         read_text_csv(spark, str(tmp_path / "a.csv"), ["x", "w"])
     with pytest.raises(MissingInputError):
         read_text_csv(spark, str(tmp_path / "b.csv"), ["x"])
+
+
+@pytest.fixture(scope="module")
+def models(spark, sf, small, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("models") / "bundle")
+    M.save_models(split_students(spark, sf), saved_target_rules(spark, sf), path)
+    return M.load_models(spark, path)
+
+
+def test_tree_folds_and_cards(spark, sf, small, models):
+    """A row for each model and fold; the cards say what the bundle's tables hold."""
+    from quarry.plans.q_ml import folds_of
+    from quarry.session import hand_off
+    folds = hand_off(M.cross_validate_trees(folds_of(spark, sf)), "test-folds")
+    rows = folds.collect()
+    assert sorted((r["model"], r["fold"]) for r in rows) == sorted((m, f) for m in M.TREES for f in range(C.CV_FOLDS))
+    for m in M.TREES:
+        mine = [r for r in rows if r["model"] == m]
+        assert all(30 < r["accuracy_pct"] <= 100 for r in mine) and len({(r["cv_mean"], r["cv_std"]) for r in mine}) == 1
+        mean = sum(r["accuracy_pct"] for r in mine) / len(mine)
+        assert abs(mine[0]["cv_mean"] - mean) < 0.02
+        assert abs(mine[0]["cv_std"] - (sum((r["accuracy_pct"] - mean) ** 2 for r in mine) / len(mine)) ** 0.5) < 0.02
+    cards = {(r["model"], r["figure"], r["item"]): r["value"] for r in M.model_cards(models["test_predictions"], folds, models["importance"]).collect()}
+    test = models["test_predictions"].collect()
+    for m in M.MODELS:
+        mine = [r for r in test if r["model"] == m]
+        assert abs(cards[m, "accuracy", ""] - 100 * sum(r["actual"] == r["predicted"] for r in mine) / len(mine)) < 0.01
+        for a in C.TRACK_NAMES:
+            assert cards[m, "support", a] == sum(r["actual"] == a for r in mine)
+            given, hit = sum(r["predicted"] == a for r in mine), sum(r["predicted"] == a == r["actual"] for r in mine)
+            assert abs(cards[m, "precision", a] - (hit / given if given else 0)) < 1e-5
+            assert all(cards[m, "confusion", f"{a} > {b}"] == sum(r["actual"] == a and r["predicted"] == b for r in mine) for b in C.TRACK_NAMES)
+    assert abs(sum(v for (_, f, _), v in cards.items() if f == "importance") - 1) < 1e-3
+    assert {m for m, f, _ in cards if f == "cv_mean"} == set(M.TREES)
+
+
+def test_reports_of_dirty_requests_by_the_models(spark, sf, small, models):
+    from quarry.plans import advise as A
+    from quarry.plans.derived import sr
+    from quarry.plans.q_advise import raw_requests
+    asked = raw_requests(spark, sf)
+    got = {r["row_order"]: r for r in A.model_advice(models, asked).collect()}
+    assert len(got) == sr(spark, sf).count()
+    wanted = {r["row_order"]: r["algorithm"] for r in asked.select("row_order", "algorithm").collect()}
+    assert {None, "svm", *C.ALGORITHM_LABELS} == set(wanted.values())
+    answers = {(int(r["student_id"]), r["model"]): r for r in M.predict_all(models, A.model_profiles(asked)).collect()}
+    accuracy = {r["model"]: r["accuracy_pct"] for r in models["metrics"].collect()}
+    for i, r in got.items():
+        model = wanted[i] if wanted[i] in C.ALGORITHM_LABELS else C.DEFAULT_ALGORITHM
+        assert r["algorithm"] == model and r["track"] == answers[i, model]["predicted"] and r["accuracy"] == accuracy[model]
+        assert abs(r["confidence"] - 100 * answers[i, model]["confidence"]) <= 0.0501
+        assert [x["algorithm"] for x in r["comparison"]] == list(C.ALGORITHM_LABELS.values())
+        assert [x["agrees"] for x in r["comparison"]] == [answers[i, m]["predicted"] == r["track"] for m in C.ALGORITHM_LABELS]
+        assert any(f"{r['track']} the highest confidence score at {r['confidence']}%" in x for x in r["explanation"])
+        assert [x["term_no"] for x in r["plan"]] == [1, 2, 3] and r["careers"] == C.TRACK_BY_NAME[r["track"]]["careers"] and r["warnings"]
+        assert [x["rank"] for x in r["similar"]] == [1, 2, 3, 4] and r["similar"][0]["similarity"] >= r["similar"][3]["similarity"] >= 75
+        assert 0 <= r["gpa"] <= 4 or r["gpa"] != r["gpa"]

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators.metric import Index, Search, distances, fit_pivots, nearest
+from quarry.operators import metric
+from quarry.operators.metric import Index, Search, distances, fit_pivots
 
 SCHEMA = "id long, vec array<double>, part int"
 
@@ -71,8 +72,10 @@ def test_bounds_hold():
         assert (true <= reach[i]).sum() >= 7
 
 
-def test_repeated_queries_share_one_search(spark):
+def test_repeated_queries_share_one_search(spark, monkeypatch):
     rows = [(i, [float(i % 3), 0.0], 0) for i in range(90)]
     df = spark.createDataFrame(rows, SCHEMA)
-    out = nearest(df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "hid"), 4)
-    assert {(r.qid, r.hid, r["rank"]) for r in out.collect()} == brute(rows, rows, 4)
+    for small in (0, 1 << 28):  # through the index, or block by block
+        monkeypatch.setattr(metric, "SMALL_PAIRS", small)
+        out = metric.nearest(df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "hid"), 4)
+        assert {(r.qid, r.hid, r["rank"]) for r in out.collect()} == brute(rows, rows, 4)
