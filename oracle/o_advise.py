@@ -121,7 +121,7 @@ oracle("advisor_report", ADV + f"SELECT student_id, algorithm, track, top_prob A
        f"CAST(coalesce(rules_matched, 0) AS BIGINT) AS rules_matched, first_rule_conf, "
        f"array_to_string({EXPL}, ' || ') AS explanation, array_to_string({WARN}, ' || ') AS warnings FROM adv")
 
-FORM = ("(SELECT row_order, CASE row_order % 5 " + " ".join(f"WHEN {i} THEN {q(a)}" for i, a in enumerate(C.ALGORITHM_LABELS)) + f" ELSE {q(C.DEFAULT_ALGORITHM)} END AS algorithm, "
+FORM = ("(SELECT DISTINCT row_order, CASE row_order % 5 " + " ".join(f"WHEN {i} THEN {q(a)}" for i, a in enumerate(C.ALGORITHM_LABELS)) + f" ELSE {q(C.DEFAULT_ALGORITHM)} END AS algorithm, "
         f"{clamp_float('gpa')} AS entered, CASE WHEN interest IN ({', '.join(q(x) for x in C.INTEREST_OPTIONS)}) THEN interest ELSE 'Undecided' END AS interest, "
         + ", ".join(f"{clamp_int(g)} AS {g}" for g in GRADES) + " FROM sr)")
 oracle("request_profiles", SR + f"SELECT row_order, algorithm, round(CASE WHEN entered > 0 THEN entered ELSE {AUTO} END, 6) AS gpa, interest, {', '.join(GRADES)}, "
