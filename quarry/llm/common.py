@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -51,6 +52,42 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker waits for its next task
+    with what its last one held, beside an executor that needs the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def tidy(fn):
+    """A function for mapInArrow that gives its memory back at its end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+    return run
+
+
+def tidy_group(fn, inputs: int = 1):
+    """A function for applyInArrow over ``inputs`` tables that gives its memory
+    back after each group."""
+    def one(table: pa.Table) -> pa.Table:
+        try:
+            return fn(table)
+        finally:
+            give_back()
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return fn(left, right)
+        finally:
+            give_back()
+    return two if inputs == 2 else one
+
+
 def row_slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges whose sizes sum to at most ``limit`` (a larger
     row stands alone), so a task's working memory doesn't follow the batch."""

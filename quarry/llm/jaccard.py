@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import RollingBytes, Roots, connected_components, discard, handoff, mix64, row_slices
+from quarry.llm.common import RollingBytes, Roots, connected_components, discard, handoff, mix64, row_slices, text_batches, tidy, tidy_group
 from quarry.llm.packed import packed_blocks, unpack
 from quarry.llm.shared import SCHEMA, SharedKeys, key_rows, shared_keys, slices
 
@@ -57,13 +57,13 @@ MAX_MATCH = 6
 #: Cost of a verification in posting reads, per token of the set.
 VERIFY_COST = 0.25
 CHUNK = 1 << 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Tokens that one bucket compares, about.
 BUCKET_TOKENS = 500_000
 #: A block of a family: texts, and tokens of theirs.
-FAMILY_TEXTS, FAMILY_TOKENS = 1024, 1 << 19
+FAMILY_TEXTS, FAMILY_TOKENS = 512, 1 << 18
 #: Tokens that a task compares, about, and columns of a token matrix.
-TILE_TOKENS, COLUMNS = 1 << 21, 4096
+TILE_TOKENS, COLUMNS = 1 << 20, 4096
 #: A token in so many pairs or more is counted by a matrix product.
 DENSE_PAIRS = 64
 #: Up to so many families of several blocks (one for FAMILY_TEXTS texts) are broadcast.
@@ -284,6 +284,7 @@ class _Join:
 
     def __init__(self, docs: DataFrame, words: int, percent: int):
         self.percent = percent
+        text_batches(docs.sparkSession)
         body = F.coalesce("text", F.lit(""))
         docs = docs.select("doc_id", body.alias("text"), F.sha2(body, 256).alias("h"))
         meta = handoff(docs.select("doc_id", "h", F.octet_length("text").alias("size")), "jaccard-meta")
@@ -293,11 +294,11 @@ class _Join:
         least = meta.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
         copies = handoff(meta.join(least, "h").where("doc_id > least").select("doc_id", "h").distinct(), "jaccard-copies")
         once = docs.join(F.broadcast(copies), ["doc_id", "h"], "left_anti") if copies.count() <= BROADCAST_COPIES else docs
-        tokens = once.select("text", block.alias("block")).mapInArrow(key_rows(partial(shingle_sets, words=words), buckets), "bucket int, data binary")
-        common = tokens.groupBy("bucket").applyInArrow(shared_keys, SCHEMA)
+        tokens = once.select("text", block.alias("block")).mapInArrow(tidy(key_rows(partial(shingle_sets, words=words), buckets)), "bucket int, data binary")
+        common = tokens.groupBy("bucket").applyInArrow(tidy_group(shared_keys), SCHEMA)
         texts = packed_blocks(once.select("h", "text", block.alias("block")))
         schema = "kind int, h string, n long, l long, node long, rank int, tokens binary"
-        rows = handoff(texts.groupBy("block").cogroup(common.groupBy("block")).applyInArrow(_index_block(words, percent, buckets), schema), "jaccard-index")
+        rows = handoff(texts.groupBy("block").cogroup(common.groupBy("block")).applyInArrow(tidy_group(_index_block(words, percent, buckets), 2), schema), "jaccard-index")
         self.measured = handoff(meta.join(rows.where("kind = 0").select("h", "n", "node"), "h").select("doc_id", "n", "node"), "jaccard-measured")
         # texts of one node may lie in different blocks: any of them serves
         nodes = rows.where("kind = 1").select("node", "n", "l", "rank", "tokens").dropDuplicates(["node"])
@@ -306,8 +307,8 @@ class _Join:
         self.nodes = nodes
         # c: tokens that other texts have too; no overlap is larger
         self.about = nodes.select("node", "n", "l", ((F.octet_length("tokens") - 4) / 8).cast("long").alias("c"))
-        self.sets = nodes.select("node", "tokens").mapInArrow(_sorted_sets, "node long, tokens binary")
-        postings = nodes.select("node", "rank", "tokens").mapInArrow(_postings, "token long, node long, rank int")
+        self.sets = nodes.select("node", "tokens").mapInArrow(tidy(_sorted_sets), "node long, tokens binary")
+        postings = nodes.select("node", "rank", "tokens").mapInArrow(tidy(_postings), "token long, node long, rank int")
         self.postings = handoff(postings, "jaccard-postings")
         self.holders = self.measured.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
@@ -329,7 +330,7 @@ class _Join:
         joined = (pairs.join(self.sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
                   .join(self.sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
                   .select("a", "b", "ta", "tb", "na", "nb"))
-        out = joined.mapInArrow(_overlap, "a long, b long, na long, nb long, both long")
+        out = joined.mapInArrow(tidy(_overlap), "a long, b long, na long, nb long, both long")
         return handoff(out.where(100 * F.col("both") >= self.percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b").distinct(), f"jaccard-{name}-links")
 
     def labelled(self, links: DataFrame | None, name: str) -> DataFrame:
@@ -371,7 +372,7 @@ class _Join:
         buckets = max(1, -(-total // TILE_TOKENS))
         dealt = (members.join(side, "family", "left").select("family", "node", "comp", "n", "l", F.explode(tiles).alias("t")).select("family", "node", "comp", "n", "l", "t.*")
                  .join(self.nodes.select("node", "tokens"), "node").withColumn("bucket", F.pmod(F.xxhash64("family"), F.lit(buckets)).cast("int")))
-        found = dealt.repartition(buckets, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInArrow(_families(self.percent), "a long, b long")
+        found = dealt.repartition(buckets, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInArrow(tidy_group(_families(self.percent)), "a long, b long")
         out = handoff(found, "jaccard-families")
         discard(members, large)
         return out

@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from quarry.llm.common import tidy
+
 #: Of the compression of what is shuffled.
 LEVEL = 6
 
@@ -68,4 +70,4 @@ def packed_blocks(rows: DataFrame) -> DataFrame:
             cuts = [order[a:e] for a, e in zip([0, *ends[:-1].tolist()], ends.tolist())] if len(at) else []
             yield pa.RecordBatch.from_arrays([pa.array([int(at[c[0]]) for c in cuts], pa.int32()), pa.array([ipc(part.take(pa.array(c))) for c in cuts], pa.binary())], names=["block", "data"])
 
-    return rows.mapInArrow(pack, "block int, data binary")
+    return rows.mapInArrow(tidy(pack), "block int, data binary")

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quarry.llm.bpe import SLICE_BYTES, codec, texts_of, vocabulary_path
-from quarry.llm.common import handoff, row_slices, text_sizes
+from quarry.llm.common import handoff, row_slices, text_batches, text_sizes, tidy
 
 CAPACITY = 4096
 END_ID = 1
@@ -61,6 +61,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     path = path or vocabulary_path()
     kind = docs.schema[key].dataType.simpleString()
     end = np.array([end_id], dtype="<u4").tobytes()
+    text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path)
@@ -80,7 +81,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
                     [b.column(0).take(pa.array(row, pa.int64())), pa.array(at), pa.array(at.astype(np.int64) * capacity),
                      pa.array(size, pa.int64()), pa.array(crc, pa.int64())], names=[key, "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(key, text).mapInArrow(tidy(run), f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 # -- the plan, on the driver, from the histogram alone -----------------------

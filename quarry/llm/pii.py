@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, MapType, StringType, StructType
 
+from quarry.llm.common import text_batches, tidy
+
 #: For tests and samples; set a secret key in production (KEY_SETTING).
 SAMPLE_KEY = b"quarry-sample-key"
 KEY_SETTING = "spark.quarry.pii.key"
@@ -336,6 +338,7 @@ def pseudonymise(docs: DataFrame, key: bytes | None = None, text: str = "text",
     and ``kinds`` (map of kind to number).  ``back`` restores the values;
     without ``key`` the session's is used."""
     key = key or session_key(docs.sparkSession)
+    text_batches(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("n_values", "kinds")]
     at = names.index(text)
     schema = StructType([docs.schema[c] for c in names]).add("n_values", "long").add("kinds", MapType(StringType(), IntegerType()))
@@ -354,4 +357,4 @@ def pseudonymise(docs: DataFrame, key: bytes | None = None, text: str = "text",
                 [*columns, pa.array([sum(c.values()) for c in counts], pa.int64()), pa.array([list(c.items()) for c in counts], pa.map_(pa.string(), pa.int32()))],
                 names=[*names, "n_values", "kinds"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(tidy(run), schema)

@@ -76,7 +76,7 @@ def op8_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = suffixes.trim(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), threshold=50, digest=True)
+    out = suffixes.trim(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), threshold=50, form="digest")
     return out.withColumnRenamed("kept", "kept_sha256")
 
 

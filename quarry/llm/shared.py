@@ -18,7 +18,7 @@ from quarry.llm.packed import columns, expand, packed, squeeze
 
 SLICE_BYTES = 2 << 20
 #: Keys that a task holds at a time.
-FLUSH = 1_000_000
+FLUSH = 500_000
 SCHEMA = "block int, bucket int, data binary"
 
 KeySets = Callable[[list[bytes]], list[np.ndarray]]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quarry.llm.common import discard, handoff, row_slices, sum_vectors, text_batches, text_sizes
+from quarry.llm.common import discard, handoff, row_slices, sum_vectors, text_batches, text_sizes, tidy
 
 #: Bound of the training sample, in labelled texts.
 TRAIN_ROWS = 20_000
@@ -140,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Model(np.zeros(size), float(np.log(share / (1 - share))))
     parts = max(2, min(64, -(-(n_other + n_toxic) // 512)))
     spread = train.repartition(parts)
-    count = sum_vectors(spark, spread.mapInArrow(_counts, "slice int, values binary"), 2 * SLICES, size // SLICES).reshape(2, size)
+    count = sum_vectors(spark, spread.mapInArrow(tidy(_counts), "slice int, values binary"), 2 * SLICES, size // SLICES).reshape(2, size)
     kept, ratio = select_features(count[0].astype(float), count[1].astype(float), n_other, n_toxic)
     place = np.full(size, -1, dtype=np.int32)
     place[kept] = np.arange(len(kept))
@@ -159,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                      pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.ListArray.from_arrays(offsets, pa.array(ratio[flat]))], names=["type", "size", "indices", "values"])
                 yield pa.RecordBatch.from_arrays([vector, b.column(1).slice(lo, hi - lo).cast(pa.float64())], names=["features", "label"])
 
-    written = handoff(spread.mapInArrow(vectors, "features struct<type:tinyint,size:int,indices:array<int>,values:array<double>>, label double"), "toxicity-features")
+    written = handoff(spread.mapInArrow(tidy(vectors), "features struct<type:tinyint,size:int,indices:array<int>,values:array<double>>, label double"), "toxicity-features")
     # read back as vectors: the stored form is the same
     features = spark.read.schema(StructType([StructField("features", VectorUDT()), StructField("label", DoubleType())])).parquet(written.__dict__["handoff_path"])
     fitted = LogisticRegression(regParam=PENALTY, elasticNetParam=0.0, standardization=False, maxIter=40, tol=1e-6).fit(features)
@@ -184,4 +184,4 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             z = [float(model.score(marks, t.as_py() or "")) for t in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(z, pa.float64())], names=[*names, "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(tidy(run), schema)

@@ -49,3 +49,20 @@ def test_stages_on_odd_documents(spark, sf):
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0, name
+
+
+def test_stages_keep_clashing_columns(spark, sf):
+    """Columns named like the operators' results, or with odd names, pass all four stages as they are."""
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")  # a small fixture
+    extra = {"score": F.col("doc_id") / 7, "kinds": F.concat(F.lit("k"), "doc_id"), "n_values": F.col("doc_id") * 2, "kept": F.lit("x"),
+             "n_bytes": F.col("doc_id") + 1, "n_removed": F.lit(None).cast("string"), "a.b c": F.col("doc_id") + 3, "h": F.lit(True)}
+    docs = docs.withColumns(extra)
+    want = {r["doc_id"]: [r[c] for c in extra] for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        new = handoff(stage(spark, docs, sf), f"clash-{name}")
+        assert new.schema.names == docs.schema.names and dict(new.dtypes) == dict(docs.dtypes), name
+        rows = new.collect()
+        assert rows and all([r[c] for c in extra] == want[r["doc_id"]] for r in rows), name
+        docs = new
+    assert "sequence_id" in STAGES["best_fit_packing"](spark, docs, sf).columns
