@@ -5,13 +5,13 @@ as Parquet and reread as the next stage's docs.  All but the last return the
 columns of documents.  Defined cases beyond the operators' own: a null doc_id
 links with nothing and stays; repeated rows are one group, of which one stays;
 a null text is empty behind the suffix stage; a text that the suffix stage
-empties stays as an empty document."""
+empties stays as an empty document.  Columns beside doc_id and text pass every
+stage as they are, whatever their names; only n_chars follows the text."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,11 +30,19 @@ def _like(docs: DataFrame, out: DataFrame) -> DataFrame:
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def _apart(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The stage's rows with the columns of ``docs``: while it runs, those
+    beside doc_id and text have names that no operator uses."""
+    plain = {c: c if c in ("doc_id", "text") else f"__column{i}" for i, c in enumerate(docs.columns)}
+    out = stage(docs.select(*[F.col(f"`{c}`").alias(x) for c, x in plain.items()]))
+    return out.select(*[F.col(x).alias(c) for c, x in plain.items()])
+
+
 def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below one half."""
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]).where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
     model = toxicity.fit(docs.select("doc_id", "text"), labels)
-    return toxicity.score(docs, model).where("score < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _apart(docs, lambda d: toxicity.score(d, model).where("score < 0.5"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,21 +62,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that a document with a smaller id has; of a
     character that is cut in part nothing stays."""
-    cut = suffixes.trim(docs, threshold=50)
-    names = [c for c in docs.columns if c != "text"]
-
-    def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kept = pa.array([x.decode("utf-8", "ignore") for x in b.column(len(names)).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], kept], names=[*names, "text"])
+    def trimmed(plain: DataFrame) -> DataFrame:
+        return suffixes.trim(plain, threshold=50, form="text").withColumnRenamed("kept", "text")
 
-    schema = cut.select(*[F.col(f"`{c}`") for c in names], F.lit("").alias("text")).schema
-    return _like(docs, cut.select(*[F.col(f"`{c}`") for c in names], "kept").mapInArrow(text, schema))
+    return _like(docs, _apart(docs, trimmed))
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms for personal numbers, dates and addresses."""
-    return _like(docs, pii.pseudonymise(docs))
+    return _like(docs, _apart(docs, pii.pseudonymise))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
