@@ -79,3 +79,29 @@ def test_repeated_queries_share_one_search(spark, monkeypatch):
         monkeypatch.setattr(metric, "SMALL_PAIRS", small)
         out = metric.nearest(df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "hid"), 4)
         assert {(r.qid, r.hid, r["rank"]) for r in out.collect()} == brute(rows, rows, 4)
+
+
+def test_boxes_prune_steps_and_flags(spark):
+    """No row within reach lies in a cell that isn't visited, and boxes leave
+    out most cells that balls don't."""
+    rng = np.random.default_rng(2)
+    grades = rng.integers(0, 8, size=(3000, 5))
+    rows = np.concatenate([grades / 2.0, (grades > 3) * 2.0, np.eye(4)[rng.integers(0, 4, 3000)]], axis=1)
+    pivots = fit_pivots(rows, 80)
+    d = distances(rows, pivots)
+    cell = d.argmin(1)
+    own = d[np.arange(3000), cell]
+    balls = [(0, int(c), int((cell == c).sum()), float(own[cell == c].min()), float(own[cell == c].max())) for c in np.unique(cell)]
+    boxed = [(*s, rows[cell == s[1]].min(0).tolist(), rows[cell == s[1]].max(0).tolist()) for s in balls]
+    q = rows[:200] + rng.normal(size=(200, rows.shape[1])) * 0.01
+    true = distances(q, rows)
+    reach = np.sort(true, axis=1)[:, 4]
+    plain, index = Index(pivots, balls, 5, 64), Index(pivots, boxed, 5, 64)
+    wide, near = plain.visits(0, q, reach), index.visits(0, q, reach)
+    for j, c in enumerate(index.cells[0]["cell"]):
+        assert ((true[:, cell == c].min(1) <= reach) <= near[:, j]).all()
+    assert near.sum() < 0.4 * wide.sum() and not (near & ~wide).any()
+    some = np.array([3, 1])
+    assert (index.visits(0, q, reach, some) == near[:, some]).all()
+    s, got = found(spark, [(i, v.tolist(), 0) for i, v in enumerate(q[:60])], [(i, v.tolist(), 0) for i, v in enumerate(rows)], 5, pivots=80)
+    assert got == brute([(i, v.tolist(), 0) for i, v in enumerate(q[:60])], [(i, v.tolist(), 0) for i, v in enumerate(rows)], 5)
