@@ -1,11 +1,14 @@
 """Frequent itemsets, association rules and rule matching.
 
-* Itemsets come from MLlib's FP-growth (parallel FP-growth, distributed by
-  item suffix).  The support threshold keeps the original semantics
-  ``count / n >= min_support`` exactly: the smallest qualifying count is
-  derived from ``n`` and handed to FP-growth as an unambiguous fraction.
-* Rules: FP-growth's own rule generator only emits single-item consequents,
-  while the original emits every antecedent/consequent split.  Consequents are
+* Itemsets are counted level by level (Apriori, like the original): baskets are
+  written once as numbers of their frequent items, tasks turn batches of them
+  into bit columns and count every candidate by AND and popcount, and the
+  counts add up.  Work is a few word operations per 64 baskets and candidate.
+  The support threshold keeps the original semantics ``count / n >=
+  min_support`` exactly.  The driver lists the frequent items, at most a mean
+  basket's length / min_support, and a level's itemsets as small numbers:
+  both follow the threshold, not the number of baskets.
+* Rules: the original emits every antecedent/consequent split.  Consequents are
   grown level by level from those that reach the confidence; the supports of
   both sides are joined back from the itemset table.
 * Matching rules to profiles is an equi-join on single items (profile items
@@ -17,10 +20,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,24 +89,103 @@ def min_count_for(n: int, min_support: float) -> int:
     return c
 
 
+#: Bytes of a task's bit columns, and of the candidates' that it ANDs at once.
+BIT_BYTES = 8 << 20
+#: Candidates to a row of counts.
+COUNTED = 1 << 16
+
+
+def bit_columns(owner: np.ndarray, item: np.ndarray, rows: int, n_items: int) -> np.ndarray:
+    """For each item the baskets that hold it, a bit each, in 64-bit words."""
+    held = np.zeros((n_items, -(-rows // 64) * 64), dtype=bool)
+    held[item, owner] = True
+    return np.packbits(held, axis=1).view(np.uint64)
+
+
+def count_sets(bits: np.ndarray, sets: np.ndarray) -> np.ndarray:
+    """The baskets that hold all items of each row of ``sets``."""
+    out, step = np.zeros(len(sets), dtype=np.int64), max(1, BIT_BYTES // max(1, 8 * bits.shape[1]))
+    for lo in range(0, len(sets), step):
+        some = sets[lo:lo + step]
+        both = bits[some[:, 0]]
+        for c in range(1, some.shape[1]):
+            both &= bits[some[:, c]]
+        out[lo:lo + step] = np.bitwise_count(both).sum(1)
+    return out
+
+
+def next_candidates(level: np.ndarray) -> np.ndarray:
+    """Sets one item longer, all of whose parts are in the level: pairs of its
+    (sorted) rows that differ in the last item only."""
+    if not len(level):
+        return np.zeros((0, level.shape[1] + 1), dtype=level.dtype)
+    cut = np.flatnonzero(np.append(True, (level[1:, :-1] != level[:-1, :-1]).any(1)))
+    left, right = [], []
+    for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(level)]):
+        x, y = np.triu_indices(z - a, 1)
+        left.append(x + a)
+        right.append(y + a)
+    x, y = np.concatenate(left), np.concatenate(right)
+    grown = np.column_stack([level[x], level[y, -1]])
+    named = lambda rows: np.ascontiguousarray(rows).view([("", rows.dtype)] * rows.shape[1])[:, 0]
+    known = named(level)
+    for c in range(level.shape[1] - 1):  # without either of the last two, the parts are the pair itself
+        grown = grown[np.isin(named(np.delete(grown, c, axis=1)), known)]
+    return grown
+
+
+def _counted(coded: DataFrame, sets: np.ndarray, n_items: int) -> np.ndarray:
+    """How many baskets (codes array<int>) hold each set, counted in tasks."""
+    step = max(64, BIT_BYTES // max(1, n_items) // 64 * 64)  # baskets at once: a byte for each item before they are packed
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(sets), dtype=np.int64)
+        for b in batches:
+            for lo in range(0, b.num_rows, step):
+                some = b.column(0).slice(lo, step)
+                size = np.diff(some.offsets.to_numpy())
+                total += count_sets(bit_columns(np.repeat(np.arange(len(some)), size), some.flatten().to_numpy(), len(some), n_items), sets)
+        parts = range(0, len(total), COUNTED)
+        yield pa.RecordBatch.from_arrays([pa.array([p // COUNTED for p in parts], pa.int32()), pa.array([total[p:p + COUNTED] for p in parts], pa.list_(pa.int64()))], names=["part", "counts"])
+
+    cells = coded.select("codes").mapInArrow(run, "part int, counts array<long>").select("part", F.posexplode("counts").alias("place", "n"))
+    found = cells.where("n > 0").groupBy((F.col("part") * COUNTED + F.col("place")).alias("at")).agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(sets), dtype=np.int64)
+    out[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
 def frequent_itemsets(baskets: DataFrame, min_support: float, items_col: str = "items",
                       num_partitions: int | None = None) -> DataFrame:
     """All frequent itemsets: ``items`` (sorted array), ``freq`` (count),
-    ``support`` (freq / n), ``length``.  Needs the basket count (one cheap
-    action) to turn the fractional threshold into an exact count."""
+    ``support`` (freq / n), ``length``.  A basket may hold an item once; a null
+    basket holds nothing.  ``num_partitions`` deals the baskets anew."""
+    spark, schema = baskets.sparkSession, "items array<string>, freq long, support double, length int"
     n = baskets.count()
     if n == 0:
-        return baskets.sparkSession.createDataFrame(
-            [], "items array<string>, freq long, support double, length int")
+        return spark.createDataFrame([], schema)
     k = min_count_for(n, min_support)
-    fp = FPGrowth(itemsCol=items_col, minSupport=(k - 0.5) / n, minConfidence=1.0)
-    if num_partitions:
-        fp = fp.setNumPartitions(num_partitions)
-    model = fp.fit(baskets.select(items_col))
-    its = model.freqItemsets
-    return its.select(F.array_sort("items").alias("items"), F.col("freq").cast("long").alias("freq"),
-                      (F.col("freq") / F.lit(float(n))).alias("support"),
-                      F.size("items").alias("length"))
+    held = baskets.select(F.col(items_col).cast("array<string>").alias("items")).where("items is not null")
+    held = held.repartition(num_partitions) if num_partitions else held
+    once = F.when(F.size("items") == F.size(F.array_distinct("items")), F.col("items")).otherwise(F.raise_error(F.lit("items in a basket must be unique")))
+    known = held.select(F.explode(once).alias("item")).groupBy("item").agg(F.count("*").alias("freq")).where(F.col("freq") >= k).collect()
+    known = sorted(known, key=lambda r: (r["item"] is None, r["item"] or ""))  # as array_sort does
+    if not known:
+        return spark.createDataFrame([], schema)
+    names = [r["item"] for r in known]
+    code = F.create_map(*[F.lit(x) for i, v in enumerate(names) if v is not None for x in (v, i)]) if any(v is not None for v in names) else F.create_map().cast("map<string,int>")
+    of = lambda x: F.when(x.isNull(), F.lit(len(names) - 1 if names[-1] is None else None).cast("int")).otherwise(F.try_element_at(code, x))
+    coded = hand_off(held.select(F.array_compact(F.transform("items", of)).alias("codes")).where(F.size("codes") > 1), "baskets")
+    level = np.arange(len(names), dtype=np.int32)[:, None]
+    levels = [(level, np.array([r["freq"] for r in known], dtype=np.int64))]
+    while len(sets := next_candidates(level)):
+        freq = _counted(coded, sets, len(names))
+        level, freq = sets[freq >= k], freq[freq >= k]
+        levels.append((level, freq))
+    rows = pa.table({"codes": pa.array([r for sets, _ in levels for r in sets], pa.list_(pa.int32())), "freq": np.concatenate([f for _, f in levels])})
+    names_ = F.array(*[F.lit(v).cast("string") for v in names])
+    return spark.createDataFrame(rows).select(
+        F.transform("codes", lambda c: F.get(names_, c)).alias("items"), "freq", (F.col("freq") / F.lit(float(n))).alias("support"), F.size("codes").alias("length"))
 
 
 def association_rules(itemsets: DataFrame, n_baskets: Column | int, min_confidence: float,

@@ -112,6 +112,25 @@ def test_one_long_itemset_with_few_rules(spark):
     assert [(len(r["antecedents"]), r["consequents"]) for r in got if len(r["antecedents"]) == 39] == [(39, ["i07"])]
 
 
+def test_itemsets_counted_by_levels(spark):
+    """Against a plain count: null items, null and empty baskets (of n), several counting tasks, no item, no basket."""
+    rnd = random.Random(4)
+    rows = [(i, [rnd.choice([f"{c}{v}" for v in range(3)]) for c in "abcde"] + ([None] if i % 3 else [])) for i in range(700)] + [(700, []), *((i, None) for i in range(701, 900))]
+    df = spark.createDataFrame(rows, "student_id int, items array<string>").repartition(5)
+    want: dict[tuple, int] = {}
+    for _, items in rows:
+        named = sorted(items or [], key=lambda x: (x is None, x or ""))
+        for size in range(1, len(named) + 1):
+            for s in itertools.combinations(named, size):
+                want[s] = want.get(s, 0) + 1
+    got = R.frequent_itemsets(df, 0.02).collect()
+    assert {tuple(r["items"]): r["freq"] for r in got} == {s: n for s, n in want.items() if n / 900 >= 0.02}
+    assert len(got) == len({tuple(r["items"]) for r in got}) and all(r["length"] == len(r["items"]) and r["support"] == r["freq"] / 900 for r in got)
+    assert R.frequent_itemsets(df, 0.9).count() == 0 and R.frequent_itemsets(df.limit(0), 0.1).count() == 0
+    with pytest.raises(Exception, match="unique"):
+        R.frequent_itemsets(spark.createDataFrame([(1, ["a", "a"])], "student_id int, items array<string>"), 0.5).count()
+
+
 def test_basket_matrix_and_vectors(spark):
     baskets = [(1, ["a", "b"]), (2, ["c"]), (3, []), (4, None), (5, ["b", "zz"]), (6, ["b", "b"])]
     df = spark.createDataFrame(baskets, "student_id int, items array<string>")
