@@ -11,7 +11,8 @@ payload against its digest.  Records in one piece aren't shuffled.
 
 Archives are written by Spark's text writer with the record separator as line
 ending, and read as binary files, so any file system of Spark serves.
-``RECORDS_PER_FILE`` bounds a file: a task holds one file's records at a time.
+An archive is unpacked and parsed piece by piece: a task holds about ``READ_BYTES``
+of it, or a larger record, however long the file is.
 
 Which record answers for equal payloads is found on (hash, id) rows, aggregated
 before the shuffle; payloads never meet by content.  Defined cases: null html is
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import re
 from collections.abc import Iterator
 
@@ -33,12 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import row_slices, shared_path, text_sizes
+from quarry.llm.common import row_slices, shared_path, text_batches, text_sizes, tidy
 
 SEGMENT_BYTES = 16 << 10
 CHUNK_BYTES = 4 << 10
-RECORDS_PER_FILE = 1_000
+#: Most records of an archive, and the payload bytes that it is meant to have: a
+#: reading executor holds its packed bytes.  Not smaller than need be: on a local
+#: file system Hadoop starts a process (chmod) for each file, which for a moment
+#: counts with all the memory of the executor that starts it.
+RECORDS_PER_FILE, FILE_BYTES = 20_000, 32 << 20
 WRITE_BYTES = 4 << 20
+#: Bytes of an archive that a task holds, and of the rows that it returns at a time.
+READ_BYTES, PARSED_BYTES = 1 << 20, 4 << 20
 VERSION = b"WARC/1.1"
 #: Fixed, so that equal inputs give equal archives.
 DATE = "2024-01-01T00:00:00Z"
@@ -115,11 +123,16 @@ def answering(rows: DataFrame, least_bytes: int) -> DataFrame:
     return sized.select("id", "hash").distinct().join(top, "hash").where("id < refers").select("id", "hash", "refers")
 
 
+def records_per_file(mean_bytes: float) -> int:
+    return max(1, min(RECORDS_PER_FILE, int(FILE_BYTES / (mean_bytes + 512))))
+
+
 def write(rows: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES) -> None:
     """Write a record per row below ``path``; of payloads that are equal and
     have at least ``least_bytes``, the largest key's is the response."""
-    rows = (rows.select(F.col(key).cast("long").alias("id"), F.col(url).alias("url"), F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload"))
-            .withColumn("hash", F.sha2("payload", 256)))
+    rows = rows.select(F.col(key).cast("long").alias("id"), F.col(url).alias("url"), F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload"))
+    records = records_per_file(rows.agg(F.avg(F.octet_length("payload"))).first()[0] or 0.0)
+    rows = rows.withColumn("hash", F.sha2("payload", 256))
     named = rows.join(answering(rows, least_bytes), ["id", "hash"], "left").select("id", "url", "payload", "refers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,23 +142,44 @@ def write(rows: DataFrame, path: str, key: str = "page_id", url: str = "url", ht
                 out = [r for i, u, p, x in zip(*(c.to_pylist() for c in part.columns)) for r in segments(i, u, p, x, segment_bytes)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    (named.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
-     .write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
-
-
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers by lower-case name, block) of an archive's records."""
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no record at byte {at}")
-        lines = data[at:end].decode("utf-8").split("\r\n")[1:]
+    text_batches(rows.sparkSession)
+    (named.mapInArrow(tidy(run), "record binary").select(F.col("record").cast("string").alias("value"))
+     .write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", records).text(path))
+
+
+def parse(source) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers by lower-case name, block) of the records of an archive: its
+    bytes, or a stream that is read piece by piece."""
+    read = (io.BytesIO(source) if isinstance(source, bytes) else source).read
+    held, at, before = b"", 0, 0  # bytes read, the place in them, bytes dropped before them
+
+    def more(least: int) -> bool:
+        """Hold ``least`` bytes more; False at the end of the stream."""
+        nonlocal held, at, before
+        pieces, found = [held[at:]], 0
+        before, at = before + at, 0
+        while found < least and (piece := read(max(READ_BYTES, least - found))):
+            pieces.append(piece)
+            found += len(piece)
+        held = b"".join(pieces)
+        return found >= least
+
+    while at < len(held) or more(1):
+        if len(held) - at < 5:
+            more(5)
+        while (end := held.find(b"\r\n\r\n", at)) < 0 and held.startswith(b"WARC/", at) and more(1):
+            pass
+        if end < 0 or not held.startswith(b"WARC/", at):
+            raise ValueError(f"no record at byte {before + at}")
+        lines = held[at:end].decode("utf-8").split("\r\n")[1:]
         headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        begin, size = end + 4, int(headers["content-length"])
-        if data[begin + size:begin + size + 4] != b"\r\n\r\n":
-            raise ValueError(f"the record at byte {at} ends early")
-        yield headers, data[begin:begin + size]
+        size, lead = int(headers["content-length"]), end + 4 - at
+        if at + lead + size + 4 > len(held):
+            more(at + lead + size + 4 - len(held))
+        begin = at + lead
+        if held[begin + size:begin + size + 4] != b"\r\n\r\n":
+            raise ValueError(f"the record at byte {before + at} ends early")
+        yield headers, held[begin:begin + size]
         at = begin + size + 4
 
 
@@ -204,18 +238,25 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for content in b.column(0):
-                data = content.as_py()
+                data = content.as_buffer()
+                stream = pa.input_stream(pa.BufferReader(data), compression="gzip") if data[:2].to_pybytes() == b"\x1f\x8b" else pa.BufferReader(data)
                 rows: list[tuple] = []
                 parts: list[tuple] = []
-                for headers, block in parse(pa.input_stream(pa.BufferReader(data), compression="gzip").read() if data[:2] == b"\x1f\x8b" else data):
+                size = 0
+                for headers, block in parse(stream):
                     if "warc-segment-number" in headers:
                         parts.append((headers.get("warc-segment-origin-id", headers["warc-record-id"]), int(headers["warc-segment-number"]), list(headers.items()), block))
                     elif headers["warc-type"] in ("response", "revisit"):
                         rows.append(finished(headers, block))
+                    size += len(block)
+                    if size > PARSED_BYTES:
+                        yield _either(rows, parts)
+                        rows, parts, size = [], [], 0
                 yield _either(rows, parts)
 
+    text_batches(spark)
     either = f"{_FIELDS}, {split}"
-    parsed = files.mapInArrow(run, either)
+    parsed = files.mapInArrow(tidy(run), either)
     whole = parsed.where("origin is null").select(*_SCHEMA.names)
     pieces = parsed.where("origin is not null").select("origin", "number", "head", "block")
 

@@ -1,11 +1,13 @@
 import base64
 import hashlib
+import os
 import random
 import re
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import html_crf, html_pages, pii, toxicity, warc
 from quarry.llm.queries import QUERIES
@@ -40,6 +42,47 @@ def test_warc_odd_pages(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_archives_are_parsed_piece_by_piece(monkeypatch):
+    """Records around the size of a piece, from a stream that gives a few bytes at a time and that isn't read far ahead."""
+    monkeypatch.setattr(warc, "READ_BYTES", 64)
+    pages = [b"x" * n for n in (0, 1, 40, 63, 64, 65, 700, 5000)]
+    records = [r for i, p in enumerate(pages) for r in warc.segments(i, f"u{i}", p, None, 1000)]
+    data = b"".join(r + b"\r\n\r\n" for r in records)
+    want = list(warc.parse(data))
+    assert [(h["warc-record-id"], len(b)) for h, b in want] == [(h["warc-record-id"], len(b)) for r in records for h, b in warc.parse(r + b"\r\n\r\n")]
+
+    class Slow:
+        at = 0
+
+        def read(self, n):
+            out = data[self.at:self.at + min(n, 7)]
+            self.at += len(out)
+            return out
+
+    slow, ends, got = Slow(), 0, []
+    for record, (headers, block) in zip(records, warc.parse(slow), strict=True):
+        ends += len(record) + 4
+        assert slow.at <= ends + 2 * 64
+        got.append((headers, block))
+    assert got == want
+    for cut in (1, 4, 30, len(data) - 2):
+        with pytest.raises(ValueError):
+            list(warc.parse(data[:cut]))
+
+
+def test_warc_files_follow_bytes(spark, tmp_path):
+    """A file for a task's 3,000 short pages, several for 3,000 long ones; both read back whole."""
+    assert warc.records_per_file(0.0) == warc.RECORDS_PER_FILE and warc.records_per_file(1e12) == 1
+    rows = spark.range(0, 3000, 1, 1).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.lit("p"), F.col("id")).alias("html"))
+    for name, pages, files in (("short", rows, 1), ("long", rows.withColumn("html", F.rpad("html", 40_000, "<br>")), 4)):
+        path = str(tmp_path / name)
+        warc.write(pages.coalesce(1), path)
+        found = [x for x in os.listdir(path) if x.endswith(".gz")]
+        assert len(found) == 1 if files == 1 else len(found) >= files
+        back = {r["page_id"]: bytes(r["payload"]).decode() for r in warc.read(spark, path).collect()}
+        assert back == {r["page_id"]: r["html"] for r in pages.collect()}
+
+
 def test_warc_pages_without_id(spark):
     rows = [(None, "a", "same" * 30_000), (None, "b", "same" * 30_000), (1, "c", "same" * 30_000), (2, "d", "same" * 30_000), (None, "e", "x"), (3, "f", "x"), (None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
