@@ -73,3 +73,18 @@ def test_stream_parse_matches_batch(spark, sf, tmp_path):
     batch = parse_rows(raw)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_dedupe_sorts_parts_of_bounded_bytes(spark):
+    """One packed file of many rows: the map-side sort by id runs on rows dealt anew, and the rows kept are the plain ones."""
+    from quarry.plans.clean import dedupe_stage
+    rows = [(i // 2, f"STU{i % 700:07d}" if i % 5 else None, f"v{i}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "row_order long, student_id string, gpa string").coalesce(1)
+    got = dedupe_stage(df)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    want = {}
+    for order, sid, _ in rows:
+        want[sid] = min(order, want.get(sid, order))
+    kept = got.collect()
+    assert {r["_raw_student_id"]: r["row_order"] for r in kept} == want and len(kept) == len(want)
