@@ -1,6 +1,7 @@
 """The metric index against exhaustive search, on clustered, repeated and odd vectors."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +106,27 @@ def test_boxes_prune_steps_and_flags(spark):
     assert (index.visits(0, q, reach, some) == near[:, some]).all()
     s, got = found(spark, [(i, v.tolist(), 0) for i, v in enumerate(q[:60])], [(i, v.tolist(), 0) for i, v in enumerate(rows)], 5, pivots=80)
     assert got == brute([(i, v.tolist(), 0) for i, v in enumerate(q[:60])], [(i, v.tolist(), 0) for i, v in enumerate(rows)], 5)
+
+
+def test_batches_are_cut_for_the_pivots():
+    """Of Arrow's batches of 10,000 rows by all pivots no task makes one matrix."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000))], names=["q"])
+    parts = list(metric.short(iter([batch, batch.slice(0, 0), batch.slice(5, 1)])))
+    assert max(b.num_rows for b in parts) <= metric.ASSIGNED and sum(b.num_rows for b in parts) == 10_001
+    assert [x for b in parts for x in b.column(0).to_pylist()] == [*range(10_000), 5]
+
+
+def test_dense_blocks_and_ties_against_brute_force(spark):
+    """Vectors that no bound prunes, each several times or mirrored: every rank and tie as by brute force, through several blocks."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 24))
+    x = np.concatenate([x, -x, x[:90], x[:40], rng.integers(0, 2, size=(200, 24))]).astype(float)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    search = Search(table.withColumnRenamed("id", "qid"), table.withColumnRenamed("id", "hid"), 6, block=64, pivots=9)
+    got = {(r["qid"], r["rank"]): (r["hid"], r["dist"]) for r in search.neighbours().collect()}
+    assert len(got) == 6 * len(x)
+    for i in range(len(x)):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        for rank, j in enumerate(np.lexsort((np.arange(len(x)), np.round(d, 12)))[:6], 1):
+            hid, dist = got[i, rank]
+            assert abs(dist - d[j]) < 1e-9 and (hid == j or abs(d[hid] - d[j]) < 1e-9)
