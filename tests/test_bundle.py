@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry import config as C
+from quarry.operators import features as FT
 from quarry.plans import models as M
 from quarry.plans.derived import sl
 from quarry.plans.q_ml import bundle, split_students
@@ -110,3 +111,81 @@ def test_reports_of_dirty_requests_by_the_models(spark, sf, small, models):
         assert [x["term_no"] for x in r["plan"]] == [1, 2, 3] and r["careers"] == C.TRACK_BY_NAME[r["track"]]["careers"] and r["warnings"]
         assert [x["rank"] for x in r["similar"]] == [1, 2, 3, 4] and r["similar"][0]["similarity"] >= r["similar"][3]["similarity"] >= 75
         assert 0 <= r["gpa"] <= 4 or r["gpa"] != r["gpa"]
+
+
+def _plan(df, capsys):
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_statistics_are_one_subquery(spark, sf, capsys):
+    """Each mention of a scalar subquery is a copy of its plan on the driver."""
+    from quarry.plans.q_ml import split_students
+    data = split_students(spark, sf)
+    few, all_ = (len(_plan(FT.standardize(data, cols, fit=data.filter("not is_test")), capsys)) for cols in (M.NUM[:5], M.NUM))
+    assert all_ < 2 * few * len(M.NUM) / 5 and all_ < 100_000   # in proportion to the columns, not to their square
+
+
+def test_every_model_is_asked_once(spark, sf, small, models, capsys):
+    students = sl(spark, sf).withColumn("algorithm", F.lit(C.DEFAULT_ALGORITHM))
+    plan = _plan(M.compare(models, students), capsys)
+    assert not any(x in plan for x in ("CoGroup", "MapInArrow", "Window"))
+
+
+def test_fold_statistics_leave_rows_where_they_are(spark, sf, monkeypatch, capsys):
+    from quarry.plans.q_ml import folds_of
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def stop(queries, history, *a, **b):
+        seen.append(history)
+        raise Stop
+
+    monkeypatch.setattr(M, "nearest", stop)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.raises(Stop):
+            M.cross_validate_knn(folds_of(spark, sf))
+        plan = _plan(seen[0], capsys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_kinds_of_trees_are_fitted_side_by_side(spark, sf, monkeypatch):
+    import threading
+
+    from quarry.plans.q_ml import folds_of
+    both = threading.Barrier(2, timeout=30)
+
+    class Met(Exception):
+        pass
+
+    def met(rows, kind):
+        both.wait()
+        raise Met
+
+    monkeypatch.setattr(M.EV, "fit_rows", met)
+    with pytest.raises(Met):
+        M.cross_validate_trees(folds_of(spark, sf))
+
+
+def test_form_inputs_are_parsed_once(spark, capsys):
+    from quarry.functions.numeric import clamp_float_input, clamp_int_input, coerce_numeric
+    values = {None: (70, 0.0), "": (70, 0.0), "nan": (70, 4.0), "inf": (100, 4.0), "-inf": (0, 0.0), "3.7": (3, 3.7), "-0.5": (0, 0.0), "150": (100, 4.0), "1e400": (100, 4.0), "x": (70, 0.0)}
+    rows = spark.createDataFrame([(v,) for v in values], "v string").repartition(1)
+    out = rows.select("v", clamp_int_input("v").alias("i"), clamp_float_input("v").alias("f"))
+    assert {r["v"]: (r["i"], r["f"]) for r in out.collect()} == values
+    count = lambda c: _plan(rows.select(c.alias("x")), capsys).count("RLIKE")
+    once = count(coerce_numeric("v"))
+    assert once and count(clamp_int_input("v")) == once and count(clamp_float_input("v")) <= once + 1
+
+
+def test_report_texts_are_planned_apart_from_joins(spark, sf, small, models, capsys):
+    from quarry.plans import advise as A
+    from quarry.plans.q_advise import raw_requests
+    assert "Join" not in _plan(A.model_advice(models, raw_requests(spark, sf)), capsys)
