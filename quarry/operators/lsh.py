@@ -21,12 +21,14 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.metric import BLOCK, SAMPLE_ROWS, Search, _matrix, distances
+from quarry.operators.metric import BLOCK, HELD, MOST_BLOCKS, SAMPLE_ROWS, Rows, Search, _matrix, distances, ranked
 from quarry.session import hand_off
 
 TABLES, GROUP = 8, 3
 #: Bucket length in k-th distances of the sample.
 REACH = 4.0
+#: Rows of a key from which they are measured by one product.
+WORTH = 256
 #: Up to so many keys with several parts are broadcast.
 BROADCAST_KEYS = 100_000
 
@@ -49,6 +51,11 @@ def _nearest(k: int):
             order_q, order_h = np.argsort(key_q, kind="stable"), np.argsort(key_h, kind="stable")
             for key in np.intersect1d(key_q, key_h):
                 mine, asked = (order[np.searchsorted(keys[order], key):np.searchsorted(keys[order], key, "right")] for order, keys in ((order_h, key_h), (order_q, key_q)))
+                if len(mine) >= WORTH:
+                    row, at = Rows(h[mine]).near(q[asked], k)
+                    row, at, exact = ranked(q[asked], h[mine], hid[mine], row, at, k)
+                    out.append((qid[asked[row]], hid[mine[at]], exact))
+                    continue
                 for lo in range(0, len(asked), 512):
                     x = asked[lo:lo + 512]
                     rough, kk = distances(q[x], h[mine]), min(k, len(mine))
@@ -81,9 +88,13 @@ def approx_nearest(queries: DataFrame, history: DataFrame, k: int, qid: str = "q
         return hashes.select("*", F.explode(F.array_distinct(keys)).alias("key")).drop("numbers")
 
     left, right = hand_off(keyed(asked), "lsh-queries"), hand_off(keyed(held), "lsh-rows")
-    parts = (right.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("row_parts"))
-             .join(left.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("query_parts")), "key"))
-    several = hand_off(parts.where("row_parts > 1 or query_parts > 1"), "lsh-parts")
+    counts = hand_off(right.groupBy("key").agg(F.count("*").alias("rows")).join(left.groupBy("key").agg(F.count("*").alias("queries")), "key"), "lsh-parts")
+    # a large key's parts travel once for each part they meet: longer ones where all cores have some
+    met = counts.agg(F.sum(F.ceil(F.col("rows") / block) * F.ceil(F.col("queries") / block))).first()[0] or 0
+    longer = int(np.sqrt(met / (4 * held.sparkSession.sparkContext.defaultParallelism)))
+    most = block * max(1, min(MOST_BLOCKS, HELD // (block * sample.shape[1] or 1), longer))
+    parts = counts.select("key", F.ceil(F.col("rows") / most).cast("int").alias("row_parts"), F.ceil(F.col("queries") / most).cast("int").alias("query_parts"))
+    several = parts.where("row_parts > 1 or query_parts > 1")
     side = F.broadcast(several) if several.count() <= BROADCAST_KEYS else several
     n = right.count()
     shards = max(1, -(-n // block))

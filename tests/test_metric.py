@@ -130,3 +130,48 @@ def test_dense_blocks_and_ties_against_brute_force(spark):
         for rank, j in enumerate(np.lexsort((np.arange(len(x)), np.round(d, 12)))[:6], 1):
             hid, dist = got[i, rank]
             assert abs(dist - d[j]) < 1e-9 and (hid == j or abs(d[hid] - d[j]) < 1e-9)
+
+
+@pytest.mark.parametrize("scale, offset", [(1.0, 0.0), (1.0, 1e6), (1e-14, 0.0), (1e100, 0.0), (30.0, -5.0)])
+def test_one_product_tells_near_rows(scale, offset):
+    """Single precision leaves out no neighbour and keeps few rows besides."""
+    from quarry.operators import metric as ME
+    rng = np.random.default_rng(4)
+    h = rng.normal(size=(ME.COLUMNS + 3000, 12)) * scale + offset
+    h[40:60] = h[3]                                   # ties
+    q = np.concatenate([h[:30], rng.normal(size=(60, 12)) * scale + offset])
+    row, at = ME.Rows(h).near(q, 5)
+    assert scale < 1e-10 or len(row) < len(q) * 200   # not a share of the rows
+    r, a, d = ME.ranked(q, h, np.arange(len(h)), row, at, 5)
+    with np.errstate(over="ignore"):
+        whole = np.sqrt((((h[None] - q[:, None]) / scale) ** 2).sum(2))
+    for i in range(len(q)):
+        want = np.lexsort((np.arange(len(h)), whole[i]))[:5]
+        assert np.allclose(whole[i][a[r == i]], whole[i][want], rtol=1e-9, atol=1e-9)
+    assert a[r == 3].tolist() == [3, 40, 41, 42, 43]
+
+
+def test_rows_that_are_no_numbers_are_left_out():
+    from quarry.operators.metric import Rows
+    h = np.arange(900.0).reshape(300, 3)
+    h[7] = np.nan
+    row, at = Rows(h).near(h[:10] + 0.25, 4)
+    assert 7 not in at and all((row == i).sum() >= 4 for i in range(10) if i != 7)
+
+
+def test_blocks_read_together_change_nothing(spark, monkeypatch):
+    """Where queries go to most blocks, several are read together."""
+    from quarry.operators import metric as ME
+    rng = np.random.default_rng(9)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 24)).round(1))]
+    v = spark.createDataFrame(rows, "id long, vec array<double>")
+    search = ME.Search(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), 4, block=16)
+    together, most = search._shape()
+    assert together == ME.MOST_BLOCKS and 16 <= most <= 16 * together
+    got = sorted((r["qid"], r["rank"], r["hid"], round(r["dist"], 9)) for r in search.neighbours().collect())
+    monkeypatch.setattr(ME, "MOST_BLOCKS", 1)
+    alone = sorted((r["qid"], r["rank"], r["hid"], round(r["dist"], 9)) for r in search.neighbours().collect())
+    x = np.array([r[1] for r in rows])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    want = [(i, k + 1, int(j), round(float(d[i, j]), 9)) for i in range(len(x)) for k, j in enumerate(np.lexsort((np.arange(len(x)), d[i]))[:4])]
+    assert got == alone == want
