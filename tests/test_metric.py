@@ -175,3 +175,17 @@ def test_blocks_read_together_change_nothing(spark, monkeypatch):
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
     want = [(i, k + 1, int(j), round(float(d[i, j]), 9)) for i in range(len(x)) for k, j in enumerate(np.lexsort((np.arange(len(x)), d[i]))[:4])]
     assert got == alone == want
+
+
+def test_only_repeated_vectors_are_ranked(spark, monkeypatch):
+    from quarry.operators import metric as ME
+    written, keep = [], ME.hand_off
+    monkeypatch.setattr(ME, "hand_off", lambda df, name: (written.append(df._jdf.queryExecution().optimizedPlan().toString()), keep(df, name))[1])
+    _few_equal = ME._few_equal
+    schema = "hid long, vec array<double>, part int"
+    apart = spark.createDataFrame([(i, [float(i), 1.0], 0) for i in range(50)] + [(100 + i, [7.0, 7.0], i) for i in range(3)], schema)
+    assert _few_equal(apart, 2).count() == 53 and not any("Window" in p for p in written)
+    equal = apart.unionByName(spark.createDataFrame([(900 - i, [3.5, 0.0], 1) for i in range(9)], schema))
+    got = sorted(r["hid"] for r in _few_equal(equal, 2).collect())
+    assert sum("Window" in p for p in written) == 1
+    assert got == [*range(50), 100, 101, 102, 892, 893]
