@@ -239,3 +239,23 @@ def test_approximate_search_recall_and_fallback(spark, sf):
     assert approx_nearest(emb, rows.limit(0), 5).count() == 0 and approx_nearest(emb.limit(0), rows, 5).count() == 0
     blocks = approx_nearest(emb, rows, 5, block=16)
     assert np.isclose(recall(blocks, exact).first()["recall"], recall(found, exact).first()["recall"])
+
+
+def test_rules_are_matched_without_pairs(spark):
+    """Each profile meets the rules as one list: nothing is exploded by item or shuffled."""
+    from quarry.operators.rules import match_rules
+    rng = np.random.default_rng(8)
+    items = [f"i{x}" for x in range(12)]
+    rules = [(r + 1, sorted(rng.choice(items, size=rng.integers(1, 4), replace=False).tolist()), ["Track_A" if r % 4 else "Other"], 0.5) for r in range(60)]
+    rules.append((61, [], ["Track_B"], 0.5))   # no rule without antecedents
+    profiles = [(f"s{i}", rng.choice(items, size=6).tolist()) for i in range(80)] + [("none", []), ("null", None), ("some", [None, "i1", "i2", "i3"])]
+    p = spark.createDataFrame(profiles, "student_id string, items array<string>")
+    r = spark.createDataFrame(rules, "rule_rank int, antecedents array<string>, consequents array<string>, confidence double")
+    want = {i: [k for k, a, c, _ in rules if a and c[0] != "Other" and set(a) <= set(x or [])] for i, x in profiles}
+    got = match_rules(p, r)
+    assert sorted((x["student_id"], x["rule_rank"]) for x in got.collect()) == sorted((i, k) for i, ks in want.items() for k in ks)
+    few = match_rules(p, r, per_profile=2)
+    assert sorted((x["student_id"], x["rule_rank"]) for x in few.collect()) == sorted((i, k) for i, ks in want.items() for k in ks[:2])
+    assert set(got.columns) == {"student_id", *r.columns}
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Aggregate") == 1   # the list of rules alone
