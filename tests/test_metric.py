@@ -163,7 +163,7 @@ def test_blocks_read_together_change_nothing(spark, monkeypatch):
     """Where queries go to most blocks, several are read together."""
     from quarry.operators import metric as ME
     rng = np.random.default_rng(9)
-    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 24)).round(1))]
+    rows = [(i, v.tolist()) for i, v in enumerate((rng.normal(size=(1500, 24)) * 2).round() / 2)]   # sums without rounding
     v = spark.createDataFrame(rows, "id long, vec array<double>")
     search = ME.Search(v.withColumnRenamed("id", "qid"), v.withColumnRenamed("id", "hid"), 4, block=16)
     together, most = search._shape()
